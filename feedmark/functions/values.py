@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmark import model as m
 
@@ -62,7 +62,8 @@ def defang(kind: Column, value: Column) -> Column:
 def parse_datetime(text: Column) -> Column:
     """``YYYY-MM-DD HH:MM:SS`` with an optional `` UTC`` suffix; NULL when illegible."""
     bare = strip(F.regexp_replace(strip(text), r" UTC$", ""))
-    return F.try_to_timestamp(bare, F.lit("yyyy-M-d H:m:s"))
+    shaped = bare.rlike(r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$")
+    return F.when(shaped, F.try_to_timestamp(bare))
 
 
 def parse_date(text: Column) -> Column:
@@ -116,58 +117,86 @@ def is_trivial(value: Column) -> Column:
 # --- ip:port -------------------------------------------------------------------------------
 
 
-def ipv6_text(host: Column) -> Column:
-    """Shortest lower-case text of an IPv6 address, or NULL if the text is not one.
-
-    A chain of anchored replacements, each feeding the next one: rows stay in generated JVM code
-    and the expression grows linearly.
-    """
-    address, scope = (F.regexp_extract(host, r"^([^%]*)(%[^%/]+)?$", i) for i in (1, 2))
-
-    # A dotted IPv4 tail stands for the last two groups.
+def _ipv6_groups(address: Column) -> Column:
+    """The address with a dotted IPv4 tail written as the two groups it stands for."""
     octet = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
     dotted = rf"^(.*:){octet}\.{octet}\.{octet}\.{octet}$"
     a, b, c, e = (F.regexp_extract(address, dotted, i).cast("int") for i in range(2, 6))
-    text = F.when(
-        address.rlike(dotted),
+    return F.when(
+        address.contains(".") & address.rlike(dotted),
         F.format_string("%s%x:%x", F.regexp_extract(address, dotted, 1), a * 256 + b, c * 256 + e),
     ).otherwise(address)
-    text = F.lower(text)
 
-    # Write "::" out as the zero groups it stands for, by the number of groups given.
-    for given in range(8):
-        pattern = rf"^(?=(?::*[0-9a-f]{{1,4}}(?![0-9a-f])){{{given}}}:*$)(.*?)::(.*)$"
-        text = F.regexp_replace(text, pattern, "$1" + ":0" * (8 - given) + ":$2")
-    text = F.regexp_extract(text, r"^:?((?:[0-9a-f]{1,4}:){7}[0-9a-f]{1,4}):?$", 1)
-    text = F.regexp_replace(text, r"(^|:)0+(?=[0-9a-f])", "$1")
 
-    # Squeeze the longest run of two or more zero groups, the first one if several are as long.
-    for run in range(8, 1, -1):
-        pattern = rf"^(?!.*::)(.*?)(^|:)0(:0){{{run - 1}}}(:|$)(.*)$"
-        text = F.regexp_replace(text, pattern, "$1::$5")
+def with_ipv6_text(df: DataFrame, host: str, into: str) -> DataFrame:
+    """Adds the shortest lower-case text of the IPv6 address in ``host``, NULL if it is none.
+
+    Steps are columns of their own, each read several times by the next one, so nothing is
+    evaluated twice; rows never leave the JVM.
+    """
+    step = [f"_{into}_{i}" for i in range(5)]
+    text, padded, full, plain, ends = (F.col(name) for name in step)
+    kept = df.columns
 
     # A lone colon at either end, or more than one "::", is no address.
     shape = r"^(?!:[^:])(?!.*[^:]:$)(?!.*:::)(?!.*::.+::)[0-9a-fA-F:.]+$"
-    return F.when(address.rlike(shape) & (text != ""), F.concat(text, scope))
+    address = F.substring_index(F.col(host), "%", 1)
+    scoped = F.col(host).contains("%")
+    scope = F.when(scoped, F.regexp_extract(F.col(host), r"^[^%]*(%[^%/]+)$", 1)).otherwise(F.lit(""))
+    df = df.select(
+        *kept,
+        F.when(address.rlike(shape), F.lower(_ipv6_groups(address))).alias(step[0]),
+        F.when(~scoped | (scope != ""), scope).alias(step[4]),
+    )
+    # With a zero group at an open end, "::" always stands between two groups.
+    edge = F.when(text.startswith("::"), F.concat(F.lit("0"), text)).otherwise(text)
+    edge = F.when(text.endswith("::"), F.concat(edge, F.lit("0"))).otherwise(edge)
+    df = df.select("*", edge.alias(step[1]))
+    # Then there are as many groups as colons; "::" stands for those missing to eight.
+    colons = F.length(padded) - F.length(F.replace(padded, F.lit(":"), F.lit("")))
+    open_end = (padded != text).cast("int")
+    zeros = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(8) - colons, F.lit(0))))
+    written = F.when(
+        F.instr(padded, "::") > 0,
+        F.when(colons <= 7 + open_end, F.replace(padded, F.lit("::"), zeros)),
+    ).otherwise(padded)
+    df = df.select("*", written.alias(step[2]))
+    eight = full.rlike(r"^([0-9a-f]{1,4}:){7}[0-9a-f]{1,4}$")
+    stripped = F.regexp_replace(full, r"(^|:)0+(?=[0-9a-f])", "$1")
+    df = df.select("*", F.when(eight, F.concat(F.lit(":"), stripped, F.lit(":"))).alias(step[3]))
+    # Squeeze the longest run of two or more zero groups, the first one if several are as long.
+    short = F.substring(plain, 2, 39 + 2)
+    short = F.rtrim(short, F.lit(":"))
+    for run in range(2, 9):
+        zeros_run = ":" + "0:" * run
+        at = F.instr(plain, zeros_run)
+        head = F.ltrim(F.substring(plain, F.lit(1), at - 1), F.lit(":"))
+        tail = F.rtrim(F.substring(plain, at + len(zeros_run), F.lit(64)), F.lit(":"))
+        short = F.when(at > 0, F.concat(head, F.lit("::"), tail)).otherwise(short)
+    return df.select(*kept, F.concat(short, ends).alias(into))
 
 
-def split_ip_port(text: Column) -> tuple[Column, Column]:
-    """Type and host of an ``ip:port`` value.
+def with_ip_port(df: DataFrame, text: str, kind: str, host: str) -> DataFrame:
+    """Adds type and host of an ``ip:port`` value.
 
     ``[v6]:port`` and bare v6 give an IPv6 in its shortest text (NULL host if illegible); else
     the part before the last colon is taken as an IPv4 without further checks.
     """
-    bare = strip(text)
+    kept = df.columns
+    bare = F.col("_bare")
+    df = df.withColumn("_bare", strip(F.col(text)))
     bracketed = bare.startswith("[")
     inner = F.regexp_replace(bare, r"^\[([^\]]*)(\].*)?$", "$1")
-    colons = F.length(bare) - F.length(F.replace(bare, F.lit(":"), F.lit("")))
-    v6 = bracketed | (colons > 1)
+    v6 = bracketed | F.regexp_like(bare, F.lit(":.*:"))
     before_port = F.regexp_replace(bare, r":[^:]*$", "")
-    kind = F.when(v6, F.lit(m.IPV6)).when(bare.isNotNull(), F.lit(m.IPV4))
-    host = F.when(v6, ipv6_text(F.when(bracketed, inner).otherwise(bare))).otherwise(
-        F.when(before_port == "", bare).otherwise(before_port)
+    df = df.select(
+        *kept,
+        F.when(v6, F.lit(m.IPV6)).when(bare.isNotNull(), F.lit(m.IPV4)).alias(kind),
+        F.when(v6, F.when(bracketed, inner).otherwise(bare)).alias("_v6_host"),
+        F.when(~v6, F.when(before_port == "", bare).otherwise(before_port)).alias("_v4_host"),
     )
-    return kind, host
+    df = with_ipv6_text(df, "_v6_host", "_v6_text")
+    return df.select(*kept, kind, F.coalesce("_v4_host", "_v6_text").alias(host))
 
 
 def indicator_type(label: Column) -> Column:

@@ -213,12 +213,11 @@ def normalize_ioc_fields(fields: DataFrame) -> DataFrame:
     """Observations from opened fields of an indicator feed."""
     label, ioc = F.col("f_ioc_type"), F.col("f_ioc")
     is_port = F.coalesce(label == "ip:port", F.lit(False))
-    port_kind, port_host = values.split_ip_port(F.when(is_port, ioc))
     carried = [c for c in fields.columns if c[:2] not in ("f_", "k_") and c != "is_object"]
+    fields = fields.withColumn("p_text", F.when(is_port, ioc))
+    fields = values.with_ip_port(fields, "p_text", "p_kind", "p_host")
     fields = fields.select(
         "*",
-        port_kind.alias("p_kind"),
-        port_host.alias("p_host"),
         values.indicator_type(label).alias("p_mapped"),
         values.parse_datetime(F.col("f_first_seen")).alias("p_first_seen"),
         values.parse_datetime(F.col("f_last_seen")).alias("p_last_seen"),

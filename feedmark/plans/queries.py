@@ -437,18 +437,14 @@ def catalog_name_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def software_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
-    objects = w.catalog_objects(spark, sf_dir)
-    return fam.software_techniques(
-        catalog.software(objects), catalog.patterns(objects), catalog.uses(objects)
-    )
+    return _edges(spark, sf_dir)
 
 
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     software = catalog.software(w.catalog_objects(spark, sf_dir))
-    return fam.resolve_families(
-        fam.family_candidates(_family_names(spark, sf_dir)),
-        fam.catalog_index(fam.catalog_names(software)),
-    )
+    # Read several times below: written once instead of folding the names again for each.
+    candidates = stage(fam.family_candidates(_family_names(spark, sf_dir)), "candidates")
+    return fam.resolve_families(candidates, fam.catalog_index(fam.catalog_names(software)))
 
 
 @query
@@ -456,25 +452,35 @@ def resolve_families(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _resolved(spark, sf_dir)
 
 
-def _mapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Family mapping and family techniques, written once: all consumers share them."""
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = w.catalog_objects(spark, sf_dir)
-    edges = fam.software_techniques(
+    return fam.software_techniques(
         catalog.software(objects), catalog.patterns(objects), catalog.uses(objects)
     )
-    resolved = stage(_resolved(spark, sf_dir), "resolved")
-    techniques = stage(fam.family_techniques(resolved, edges), "family-techniques")
-    return stage(fam.family_mapping(resolved, techniques), "family-mapping"), techniques
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The published tables of the resolution: mapping per family and technique rows."""
+    resolved = lambda *_: w.landed(spark, sf_dir, "resolved", _resolved)
+    techniques = w.landed(
+        spark, sf_dir, "family-techniques", lambda *at: fam.family_techniques(resolved(), _edges(*at))
+    )
+    mapping = w.landed(
+        spark, sf_dir, "family-mapping", lambda *_: fam.family_mapping(resolved(), techniques)
+    )
+    return mapping, techniques
 
 
 @query
 def family_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mapped(spark, sf_dir)[1]
+    return fam.family_techniques(stage(_resolved(spark, sf_dir), "resolved"), _edges(spark, sf_dir))
 
 
 @query
 def family_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mapped(spark, sf_dir)[0].select(
+    resolved = stage(_resolved(spark, sf_dir), "resolved")
+    techniques = stage(fam.family_techniques(resolved, _edges(spark, sf_dir)), "family-techniques")
+    return fam.family_mapping(resolved, techniques).select(
         "family_id",
         "reason",
         "software_id",
@@ -485,7 +491,10 @@ def family_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.rule_dimension(rules.check_rules(w.rules(spark, sf_dir)))
+    """The published rule dimension."""
+    return w.landed(
+        spark, sf_dir, "rules", lambda *at: rules.rule_dimension(rules.check_rules(w.rules(*at)))
+    )
 
 
 @query

@@ -35,18 +35,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table of few files over all cores, for the work that shapes them into records."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
 def landed(
     spark: SparkSession, sf_dir: str, name: str, build: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
-    """A derived table, written on first use. Small inputs still land as several files."""
+    """A derived table, written on first use."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = new_folder(spark, name)
-        built = build(spark, sf_dir)
-        built.repartition(spark.sparkContext.defaultParallelism).write.parquet(path)
+        build(spark, sf_dir).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
@@ -134,7 +139,7 @@ def ioc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
             _text(_day("l_shipdate", shift=1), " 12:00:00 UTC")
         ),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.lit(m.IOC_FEED.name).alias("source"),
         year.cast("string").alias("run_id"),
         ioc.alias("ioc"),
@@ -212,7 +217,7 @@ def vuln_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(o % 83 == 0, F.lit(None))
         .otherwise(_day("o_orderdate", shift=21))
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.lit(m.VULN_FEED.name).alias("source"),
         year.cast("string").alias("run_id"),
         F.when(o % 71 != 0, _text("CVE-", year, "-", o)).alias("cveID"),
@@ -287,7 +292,7 @@ def window_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 6, envelope("ok", data=F.array().cast("array<string>")))
         .otherwise(envelope("ok", data=F.array(record, record)))
     )
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.lit(m.IOC_FEED.name).alias("source"),
         F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         F.col("event_id").cast("string").alias("doc_id"),
@@ -335,6 +340,19 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def land_all(spark: SparkSession, sf_dir: str) -> None:
+    """Write the feed tables and the normalised observations that later jobs scan."""
+    for name, build in (
+        ("ioc-lines", ioc_lines),
+        ("vuln-lines", vuln_lines),
+        ("ioc-fields", ioc_fields),
+        ("vuln-fields", vuln_fields),
+        ("ioc-normalized", _normalized_ioc),
+        ("vuln-normalized", _normalized_vuln),
+    ):
+        landed(spark, sf_dir, name, build)
+
+
 def entries(observed: DataFrame) -> DataFrame:
     """Vulnerability entries with the columns the rankings read."""
     return observed.where(F.col("type") == m.VULNERABILITY).select(

@@ -34,6 +34,7 @@ def local_session(name: str = "feedmark", cores: int | str = "*") -> SparkSessio
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("FEEDMARK_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", "8")
     )
