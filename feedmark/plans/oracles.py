@@ -940,6 +940,17 @@ SELECT s.source, s.canonical_key, s.value, s.family, CASE l.last WHEN 2 THEN 'pr
   CASE l.last WHEN 1 THEN '2024-01-31 00:00:00' WHEN 0 THEN '2024-01-21 00:00:00' END AS fallen_since,
   strftime(s.last_seen, '%Y-%m-%d %H:%M:%S') AS last_seen, strftime(s.ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
 FROM last_seen_in l JOIN snap s ON s.source = l.source AND s.canonical_key = l.canonical_key AND s.snapshot = l.last""".lstrip("\n")
+    out["stream_reappearance"] = _with(EVENTS) + """
+, run_at AS (SELECT * FROM (VALUES (0, '2024-01-11 00:00:00'), (1, '2024-01-21 00:00:00'), (2, '2024-01-31 00:00:00')) v(snapshot, run_start)),
+sighting AS (
+  SELECT source, canonical_key, snapshot, lag(snapshot) OVER w AS earlier, lead(snapshot) OVER w AS later
+  FROM snap WINDOW w AS (PARTITION BY source, canonical_key ORDER BY snapshot)
+)
+SELECT source, canonical_key, CASE WHEN earlier IS NULL THEN 'new' ELSE 'reappeared' END AS member, run_start
+FROM sighting JOIN run_at USING (snapshot) WHERE earlier IS NULL OR earlier < snapshot - 1
+UNION ALL
+SELECT source, canonical_key, 'fallen', t.run_start
+FROM sighting s JOIN run_at t ON t.snapshot = s.snapshot + 1 WHERE later IS NULL OR later > s.snapshot + 1""".lstrip("\n")
     out["sliding_family_census"] = """
 WITH seen AS (
   SELECT ts, json_extract_string(props, '$.k') AS k FROM events

@@ -912,6 +912,26 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return engine.state.load().indicators.select(*_state_columns())
 
 
+@query
+def stream_reappearance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same three drops followed key by key in the state of the stream."""
+    root = new_folder(spark, "follow")
+    events = w.event_rows(spark, sf_dir).select("source", "canonical_key", "snapshot")
+    drops = [
+        events.where(F.col("snapshot") == number).select(
+            "source", "canonical_key", F.lit(day).cast("timestamp").alias("run_start")
+        )
+        for number, day in enumerate(w.SNAPSHOT_DAYS[1:])
+    ]
+    schema = "source string, canonical_key string, run_start timestamp"
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{root}/landing")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/landing")
+        st.run_to_table(st.follow_keys(stream, 10 * values.DAY_SECONDS), f"{root}/out", f"{root}/checkpoint")
+    out = spark.read.schema(st.REAPPEARANCE_SCHEMA).parquet(f"{root}/out")
+    return out.select("source", "canonical_key", "member", _time("run_start"))
+
+
 @query
 def sliding_family_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "census")

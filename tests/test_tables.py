@@ -1,10 +1,9 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from feedmark import model as m
-from feedmark.operators import difference as d
 from feedmark.sources import tables
 from feedmark.streaming import snapshots as st
 from test_difference import NOW, OBSERVED, held, seen
@@ -87,7 +86,24 @@ def test_stream_matches_batch(spark, tmp_path):
     assert statuses(engine) == {"x": m.PRESENT, "y": m.FALLEN, "z": m.FALLEN}
 
 
-def test_gate_of_an_empty_batch(spark, tmp_path):
+def test_empty_drop_is_no_run(spark, tmp_path):
     engine = st.StreamSnapshots(spark, str(tmp_path))
     engine.apply(drop(spark, NOW))
-    assert engine.state.load().outcome == "absent" and d.RULE_EMPTY
+    assert engine.state.load().outcome == "absent"
+
+
+def test_following_keys_across_the_retention(spark, tmp_path):
+    landing, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    # "x" misses a day, "y" misses more than the retention, "z" falls and stays away.
+    for day, keys in ((1, "xyz"), (2, "y"), (3, "xw"), (50, "xyw")):
+        start = datetime(2024, 1, 1) + timedelta(days=day - 1)
+        rows = drop(spark, start, *keys).select("source", "canonical_key", "run_start")
+        rows.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema("source string, canonical_key string, run_start timestamp").parquet(landing)
+        st.run_to_table(st.follow_keys(stream, 86_400), out, checkpoint)
+    got = spark.read.schema(st.REAPPEARANCE_SCHEMA).parquet(out).collect()
+    days = lambda key: [(r["member"], (r["run_start"] - datetime(2024, 1, 1)).days + 1)
+                        for r in sorted(got, key=lambda r: r["run_start"]) if r["canonical_key"] == key]
+    assert days("x") == [("new", 1), ("fallen", 2), ("reappeared", 3), ("fallen", 4), ("new", 50)]
+    assert days("y") == [("new", 1), ("fallen", 3), ("new", 50)]
+    assert days("z") == [("new", 1), ("fallen", 2)]
