@@ -86,6 +86,13 @@ def test_stream_matches_batch(spark, tmp_path):
     assert statuses(engine) == {"x": m.PRESENT, "y": m.FALLEN, "z": m.FALLEN}
 
 
+def test_runs_that_land_together_are_applied_in_order(spark, tmp_path):
+    engine = st.StreamSnapshots(spark, str(tmp_path))
+    both = drop(spark, datetime(2024, 1, 2), "y").unionByName(drop(spark, datetime(2024, 1, 1), "x"))
+    engine.apply(both)
+    assert statuses(engine) == {"x": m.FALLEN, "y": m.PRESENT}
+
+
 def test_empty_drop_is_no_run(spark, tmp_path):
     engine = st.StreamSnapshots(spark, str(tmp_path))
     engine.apply(drop(spark, NOW))
