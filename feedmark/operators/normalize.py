@@ -61,9 +61,12 @@ def open_fields(batch: DataFrame, reads: tuple[str, ...]) -> DataFrame:
 
     ``f_x`` is the text of field x, ``k_x`` its kind: NULL for a missing key, ``VOID`` for null.
     """
+    # A record that has the first field is an object; only others need a closer look.
+    record = F.col("record")
+    has_first = records.has_key(record, reads[0])
     opened = batch.select(
         "*",
-        records.is_object(F.col("record")).alias("is_object"),
+        F.when(has_first, F.lit(True)).otherwise(records.is_object(record)).alias("is_object"),
         *(records.child(F.col("record"), name).alias(f"v_{name}") for name in reads),
         records.child(F.col("record"), "tags").alias("v_tags"),
     )

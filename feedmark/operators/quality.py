@@ -62,11 +62,14 @@ def unsupported_ratio(counts: DataFrame) -> DataFrame:
 def coverage_counts(
     batch: DataFrame, fields: tuple[str, ...], present: dict[str, Column], is_object: Column
 ) -> DataFrame:
-    """Records, objects and, per field, objects that give it: one pass over the batch."""
+    """Records, objects and, per field, objects that give it: one pass over the batch.
+
+    ``present`` must be false for what is no object; a key lookup is.
+    """
     return batch.groupBy(*RUN).agg(
         F.count("*").alias("n_records"),
         F.count_if(is_object).alias("n_objects"),
-        *(F.count_if(is_object & present[name]).alias(name) for name in fields),
+        *(F.count_if(present[name]).alias(name) for name in fields),
     )
 
 
@@ -109,7 +112,9 @@ def field_coverage(batch: DataFrame, spec: m.FeedSpec) -> DataFrame:
     """Coverage of a feed's expected fields over raw records."""
     record = F.col("record")
     present = {name: records.has_value(record, name) for name in spec.expected_fields}
-    counts = coverage_counts(batch, spec.expected_fields, present, records.is_object(record))
+    has_first = records.has_key(record, spec.expected_fields[0])
+    is_object = F.when(has_first, F.lit(True)).otherwise(records.is_object(record))
+    counts = coverage_counts(batch, spec.expected_fields, present, is_object)
     return coverage_table(counts, {name: spec.threshold(name) for name in spec.expected_fields})
 
 

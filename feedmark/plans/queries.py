@@ -98,7 +98,7 @@ def scan_window_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_stix_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(w.catalog_objects(spark, sf_dir), "catalogue-objects")
+    path = _landed(w.spread(w.catalog_objects(spark, sf_dir)), "catalogue-objects")
     objects = catalog.read_object_lines(spark, path)
     return _counts(
         objects=objects,
@@ -132,12 +132,6 @@ def _today(spark: SparkSession, sf_dir: str):
     return observed, prior, gate, marks
 
 
-def _next_state(spark: SparkSession, sf_dir: str, mode: str = m.MODE_DIFFERENTIAL):
-    observed, prior, gate, marks = _today(spark, sf_dir)
-    state = d.rebuild_state(d.compare(observed, prior), gate, mode, w.run_start())
-    return state, d.advance_watermarks(marks, gate)
-
-
 def _state_columns() -> list:
     return [
         "source",
@@ -157,10 +151,12 @@ def state_read_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "state")
     store = tables.StateTables(spark, root)
     started = datetime(2024, 1, 31)
-    baseline, marks = _next_state(spark, sf_dir, m.MODE_BASELINE)
-    store.commit("run-1", 1, baseline, marks, started)
-    state, marks = _next_state(spark, sf_dir)
-    store.commit("run-2", 2, state, marks, started)
+    observed, prior, gate, marks = _today(spark, sf_dir)
+    compared = stage(d.compare(observed, prior), "compared")
+    reached = stage(d.advance_watermarks(marks, gate), "watermarks")
+    for number, mode in enumerate((m.MODE_BASELINE, m.MODE_DIFFERENTIAL), 1):
+        state = d.rebuild_state(compared, gate, mode, w.run_start())
+        store.commit(f"run-{number}", number, state, reached, started)
     loaded = store.load()
     per_source = loaded.indicators.groupBy("source", "status").agg(F.count("*").alias("n"))
     return per_source.join(loaded.watermarks, "source", "left").select(
@@ -783,7 +779,9 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rebuild_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _next_state(spark, sf_dir)[0].select(*_state_columns())
+    observed, prior, gate, _ = _today(spark, sf_dir)
+    state = d.rebuild_state(d.compare(observed, prior), gate, m.MODE_DIFFERENTIAL, w.run_start())
+    return state.select(*_state_columns())
 
 
 @query
