@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F, types as T
 from feedmark import model as m
 from feedmark.functions.values import strip
 
+
 def _unicode_folder():
     """UDF for the names that plain ASCII rules cannot fold.
 
