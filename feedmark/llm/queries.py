@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmark.llm import exact, mixing, secrets
+from feedmark.llm import bpe, exact, mixing, secrets, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 def registered() -> dict[str, Query]:
     return {
         "op1_mix_sources": mixing.query,
+        "op2_token_files": token_files.query,
+        "op5_bpe_round_trip": bpe.query,
         "op9_exact_dedup": exact.query,
         "op10_secret_scan": secrets.query,
     }
