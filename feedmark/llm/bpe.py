@@ -140,7 +140,7 @@ def encoded(docs: DataFrame, path: str | None = None, leaf: int = LEAF) -> DataF
     leaves = leaves.repartition("row_id", "leaf")
     coded = leaves.mapInArrow(_encode_rows(path), "row_id bigint, doc_id bigint, leaf int, ids binary")
 
-    def joined(group: pd.DataFrame) -> pd.DataFrame:
+    def joined(group):
         group = group.sort_values("leaf")
         ids = tree(encoder(path), [np.frombuffer(x, dtype="<u4") for x in group.ids])
         return pd.DataFrame({"row_id": group.row_id[:1], "doc_id": group.doc_id[:1].astype("Int64"), "ids": [ids.astype("<u4").tobytes()]})

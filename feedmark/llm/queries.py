@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmark.llm import bpe, exact, mixing, secrets, token_files, toxicity, warc
+from feedmark.llm import bpe, exact, mixing, secrets, token_files, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def registered() -> dict[str, Query]:
         "op1_mix_sources": mixing.query,
         "op2_token_files": token_files.query,
         "op3_toxicity": toxicity.query,
+        "op4_near_vectors": vectors.query,
         "op5_bpe_round_trip": bpe.query,
         "op7_warc_round_trip": warc.query,
         "op9_exact_dedup": exact.query,
@@ -25,6 +26,7 @@ def registered() -> dict[str, Query]:
 
 def sql() -> dict[str, str]:
     return {
+        "op4_near_vectors": vectors.SQL,
         "op7_warc_round_trip": warc.SQL,
         "op9_exact_dedup": exact.SQL,
         "op10_secret_scan": secrets.SQL,
