@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmark.llm import bpe, exact, mixing, secrets, token_files, toxicity, vectors, warc
+from feedmark.llm import bpe, exact, mixing, ngrams, secrets, token_files, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def registered() -> dict[str, Query]:
         "op4_near_vectors": vectors.query,
         "op5_bpe_round_trip": bpe.query,
         "op7_warc_round_trip": warc.query,
+        "op8_ngram_join": ngrams.query,
         "op9_exact_dedup": exact.query,
         "op10_secret_scan": secrets.query,
     }
@@ -28,6 +29,7 @@ def sql() -> dict[str, str]:
     return {
         "op4_near_vectors": vectors.SQL,
         "op7_warc_round_trip": warc.SQL,
+        "op8_ngram_join": ngrams.SQL,
         "op9_exact_dedup": exact.SQL,
         "op10_secret_scan": secrets.SQL,
     }
