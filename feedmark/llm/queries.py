@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmark.llm import bpe, exact, mixing, ngrams, secrets, token_files, toxicity, vectors, warc
+from feedmark.llm import bpe, exact, mixing, ngrams, secrets, suffixes, token_files, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ def registered() -> dict[str, Query]:
         "op3_toxicity": toxicity.query,
         "op4_near_vectors": vectors.query,
         "op5_bpe_round_trip": bpe.query,
+        "op6_suffix_dedup": suffixes.query,
         "op7_warc_round_trip": warc.query,
         "op8_ngram_join": ngrams.query,
         "op9_exact_dedup": exact.query,
