@@ -143,6 +143,8 @@ def _record(data: bytes, at: int) -> tuple[Record, int] | str:
     if body < 0:
         return "headers do not end"
     lines = data[at:body].decode("utf-8", "replace").split("\r\n")[1:]
+    if any(":" not in x and x[:1] not in " \t" for x in lines):
+        return "damaged headers"
     headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
