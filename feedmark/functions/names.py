@@ -46,11 +46,6 @@ def canon(name: Column) -> Column:
     )
 
 
-def ascii_canon(name: Column) -> Column:
-    """:func:`canon` for names known to be ASCII; stays in the JVM."""
-    return F.coalesce(F.regexp_replace(F.lower(name), "[^a-z0-9]", ""), F.lit(""))
-
-
 def split_aliases(aliases: Column) -> Column:
     """Trimmed, non-empty fragments of a comma-separated string; empty array for NULL."""
     fragments = F.transform(F.split(aliases, ","), strip)

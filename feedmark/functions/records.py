@@ -24,11 +24,6 @@ def text(record: Column, name: str) -> Column:
     return F.try_variant_get(record, f"$.{name}", "string")
 
 
-def strings(record: Column, name: str) -> Column:
-    """Field as a list of strings; NULL when it is not a list."""
-    return F.try_variant_get(record, f"$.{name}", "array<string>")
-
-
 def elements(record: Column, name: str) -> Column:
     """Field as a list of VARIANT; NULL when it is not a list."""
     return F.try_variant_get(record, f"$.{name}", "array<variant>")
@@ -53,6 +48,21 @@ def only_string(record: Column, name: str) -> Column:
     return F.when(kind_of(record, name) == "STRING", text(record, name))
 
 
+def truthy(record: Column, name: str) -> Column:
+    """Given at all: neither missing, null, '', zero, false nor an empty list or object."""
+    field, kind = child(record, name), kind_of(record, name)
+    number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
+    given = (
+        F.when(kind == "VOID", False)
+        .when(kind == "STRING", text(record, name) != "")
+        .when(kind == "BOOLEAN", text(record, name) == "true")
+        .when(number, F.coalesce(text(record, name).try_cast("double") != 0, F.lit(True)))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~F.to_json(field).isin("[]", "{}"))
+        .otherwise(kind.isNotNull())
+    )
+    return F.coalesce(given, F.lit(False))
+
+
 def has_value(record: Column, name: str) -> Column:
     """Present for coverage: neither missing, null nor the empty string; an empty list counts."""
     kind = kind_of(record, name)

@@ -16,6 +16,7 @@ DEFANGED_SEPARATOR = "[://]"
 DECLARED_WINDOW = r"^P(\d+)D/"
 
 DAY_SECONDS = 86_400
+LONGEST = 9_223_372_036_854_775_807
 
 
 def strip(text: Column) -> Column:
@@ -88,17 +89,28 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(1_000_000.0)
 
 
+def whole_number(text: Column, most: int) -> Column:
+    """The number cut to its whole part if that is 0 to ``most``; NULL for any other text.
+
+    Compared as a double first, so that no text a feed may send overflows.
+    """
+    number = F.trim(text).try_cast("double")
+    return F.when((number > -1) & (number < most + 1), number.cast("int"))
+
+
 def declared_window_seconds(window: Column) -> Column:
     """Seconds of a run's declared window.
 
     Absent means no ceiling (NULL). Illegible means zero: dropping the ceiling in silence would
-    publish what the ceiling exists to hold back.
+    publish what the ceiling exists to hold back. A window of more days than a whole number holds
+    is longer than any interval and counts as the longest that can be written.
     """
     days = F.regexp_extract(window, DECLARED_WINDOW, 1)
+    seconds = F.try_multiply(days.try_cast("bigint"), F.lit(DAY_SECONDS))
     return (
         F.when(~has_text(window), F.lit(None).cast("bigint"))
         .when(days == "", F.lit(0).cast("bigint"))
-        .otherwise(days.cast("bigint") * DAY_SECONDS)
+        .otherwise(F.coalesce(seconds, F.lit(LONGEST)))
     )
 
 

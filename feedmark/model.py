@@ -135,7 +135,6 @@ TOP_TECHNIQUES = 10
 TOP_FAMILIES = 10
 TOP_HIGHLIGHTED = 15
 BASELINE_HEAD = 20
-TOP_JUDGEMENTS = 5
 TOP_RECOMMENDED = 3
 # ---------------------------------------------------------------------------------------------
 

@@ -99,9 +99,10 @@ def catalog_index(names: DataFrame) -> DataFrame:
     )
 
 
-def resolve_families(candidates: DataFrame, index: DataFrame) -> DataFrame:
-    """One row per family: its software, or the reason to abstain.
+def resolve_families(names: DataFrame, candidates: DataFrame, index: DataFrame) -> DataFrame:
+    """One row per family of ``names``: its software, or the reason to abstain.
 
+    A family none of whose names leaves a canon has no candidate, and so no entry; it stays a family.
     Candidates without a catalogue entry do not count. The first ambiguous one in candidate order
     decides: several software behind its canon come before several families behind it. If none is
     ambiguous, the family must lead to exactly one software.
@@ -119,7 +120,7 @@ def resolve_families(candidates: DataFrame, index: DataFrame) -> DataFrame:
         F.max("software_id").alias("last_software"),
         F.min(place).alias("matched"),
     )
-    families = candidates.select("family_id").distinct()
+    families = names.select("family_id").distinct()
     reason = (
         F.when(F.col("matched").isNull(), F.lit(m.FAMILY_NO_ENTRY))
         .when(F.col("ambiguity").isNotNull(), F.col("ambiguity.why"))
@@ -214,7 +215,8 @@ def map_families(
     observations: DataFrame, software: DataFrame, patterns: DataFrame, uses: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """Mapping per family and its technique rows, from observations and a catalogue."""
-    candidates = family_candidates(family_names(observations))
-    resolved = resolve_families(candidates, catalog_index(catalog_names(software)))
+    names = family_names(observations)
+    candidates = family_candidates(names)
+    resolved = resolve_families(names, candidates, catalog_index(catalog_names(software)))
     techniques = family_techniques(resolved, software_techniques(software, patterns, uses))
     return family_mapping(resolved, techniques), techniques

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import MapType, VariantType
 
-# Rows of a lookup that may be broadcast: at some hundred bytes a row, tens of megabytes.
+# What a lookup that is broadcast may hold: rows, and bytes of all its fields written out.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 SALTS = 32
 
 
-def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``lookup`` has at most ``max_rows`` rows; reads no more than one row beyond."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
+def is_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``lookup`` has at most so many rows and bytes; reads no more than one row beyond."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("bigint"))
+    rows, held = lookup.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return rows <= max_rows and held <= max_bytes
 
 
 def join_lookup(

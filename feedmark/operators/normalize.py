@@ -53,6 +53,7 @@ OBSERVATION_COLUMNS = (
     "threat_type",
     "tags",
     "kev",
+    "raw",
 )
 
 
@@ -70,8 +71,9 @@ def open_fields(batch: DataFrame, reads: tuple[str, ...]) -> DataFrame:
         *(records.child(F.col("record"), name).alias(f"v_{name}") for name in reads),
         records.child(F.col("record"), "tags").alias("v_tags"),
     )
+    # The whole record stays with its row, for audits.
     return opened.select(
-        *batch.columns,
+        *(F.col(c).alias("raw") if c == "record" else F.col(c) for c in batch.columns),
         "is_object",
         *(F.try_variant_get(f"v_{name}", "$", "string").alias(f"f_{name}") for name in reads),
         *(F.schema_of_variant(f"v_{name}").alias(f"k_{name}") for name in reads),
@@ -80,30 +82,6 @@ def open_fields(batch: DataFrame, reads: tuple[str, ...]) -> DataFrame:
     )
 
 
-def typed_fields(rows: DataFrame, reads: tuple[str, ...]) -> DataFrame:
-    """Same shape for rows that already come as string columns named like the fields."""
-    have = set(rows.columns)
-
-    def text(name: str) -> Column:
-        return F.col(name) if name in have else F.lit(None).cast("string")
-
-    def kind(name: str) -> Column:
-        if name not in have:
-            return F.lit(None).cast("string")
-        return F.when(F.col(name).isNull(), F.lit("VOID")).otherwise(F.lit("STRING"))
-
-    tags = F.col("tags") if "tags" in have else F.lit(None).cast("array<string>")
-    carried = [c for c in rows.columns if c not in {*reads, "tags"}]
-    return rows.select(
-        *carried,
-        F.lit(True).alias("is_object"),
-        *(text(name).alias(f"f_{name}") for name in reads),
-        *(kind(name).alias(f"k_{name}") for name in reads),
-        tags.alias("f_tags"),
-        F.when(tags.isNull(), F.lit("VOID")).otherwise(F.lit("ARRAY<STRING>")).alias("k_tags"),
-    )
-
-
 def _failed(**checks: Column) -> Column:
     """Names of the checks that do not hold, in the order given."""
     return F.array_compact(
@@ -233,7 +211,7 @@ def normalize_ioc_fields(fields: DataFrame) -> DataFrame:
     whole_text = (level_kind != "STRING") | level_text.rlike(r"^\s*[+-]?\d+\s*$")
     level = F.when(
         level_kind == "BOOLEAN", F.when(level_text == "true", F.lit(1)).otherwise(F.lit(0))
-    ).otherwise(F.expr("cast(try_cast(trim(f_confidence_level) as double) as int)"))
+    ).otherwise(values.whole_number(level_text, 100))
 
     def timely(name: str) -> Column:
         parsed = F.col(f"p_{name}")
@@ -289,14 +267,6 @@ def normalize_ioc_feed(batch: DataFrame) -> DataFrame:
     return normalize_ioc_fields(open_fields(batch, IOC_READS))
 
 
-def split_records(normalized: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Valid, invalid and unsupported records; their union is the batch."""
-    return tuple(
-        normalized.where(F.col("verdict") == verdict)
-        for verdict in (VALID, INVALID, UNSUPPORTED)
-    )
-
-
 def key_observations(raw: DataFrame) -> DataFrame:
     """``(source, type, raw_value)`` with normalised value, identities and collapse counts.
 
@@ -327,10 +297,6 @@ def reportable(observations: DataFrame) -> DataFrame:
     )
 
 
-def without_trivial(observations: DataFrame) -> DataFrame:
-    return observations.where(~values.is_trivial(F.col("value")))
-
-
 def trivial_counts(observations: DataFrame) -> DataFrame:
     """Kept and removed rows per source and type, so that the removal is declared."""
     trivial = values.is_trivial(F.col("value"))

@@ -151,11 +151,7 @@ def broken_time_formats(batch: DataFrame, time_fields: dict[str, str]) -> DataFr
     def legible(name: str, kind: str) -> Column:
         return values.TIME_PARSERS[kind](records.only_string(record, name)).isNotNull()
 
-    given = {
-        name: records.has_value(record, name)
-        & ~F.coalesce(records.text(record, name).isin("0", "false"), F.lit(False))
-        for name in time_fields
-    }
+    given = {name: records.truthy(record, name) for name in time_fields}
     counts = batch.groupBy(*RUN).agg(
         *(F.count_if(given[name]).alias(f"given_{name}") for name in time_fields),
         *(

@@ -50,11 +50,33 @@ def technique_frequency_top(techniques: DataFrame, mapping: DataFrame) -> DataFr
     )
 
 
-def inferred_frequency(enriched: DataFrame, new_keys: DataFrame) -> DataFrame:
-    """Entries per inferred technique over the new entries of the period, and only those."""
+def inferred_frequency(enriched: DataFrame, new_keys: DataFrame, mode: str = m.MODE_DIFFERENTIAL) -> DataFrame:
+    """Entries per inferred technique over the new entries of the period, and only those.
+
+    Instead of an empty table there is one row without a technique: a baseline has no period, a
+    period without new entries has no denominator, and one without vectors says so.
+    """
     entries = enriched.join(new_keys, "canonical_key", "left_semi")
+    found = entries.agg(
+        F.count("*").alias("total_entries"),
+        F.count_if(F.col("mapping_method") == m.INFERRED).alias("inferred"),
+    )
+    reason = (
+        F.when(F.lit(mode) != m.MODE_DIFFERENTIAL, F.lit("baseline_mode"))
+        .when(F.col("total_entries") == 0, F.lit("no_denominator"))
+        .when(F.col("inferred") == 0, F.lit("no_vectors"))
+    )
+    none = found.select(
+        F.lit(None).cast("string").alias("technique_id"),
+        F.lit(None).cast("bigint").alias("n_entries"),
+        "total_entries",
+        F.lit(None).cast("bigint").alias("percent"),
+        reason.alias("reason"),
+    ).where(F.col("reason").isNotNull())
+    if mode != m.MODE_DIFFERENTIAL:
+        return none.withColumn("total_entries", F.lit(None).cast("bigint"))
     total = entries.agg(F.count("*")).scalar()
-    return (
+    top = (
         entries.where(F.col("mapping_method") == m.INFERRED)
         .select(F.explode("technique_ids").alias("technique_id"))
         .groupBy("technique_id")
@@ -63,7 +85,9 @@ def inferred_frequency(enriched: DataFrame, new_keys: DataFrame) -> DataFrame:
         .withColumn("percent", floor_percent(F.col("n_entries"), F.col("total_entries")))
         .orderBy(F.desc("n_entries"), "technique_id")
         .limit(m.TOP_TECHNIQUES)
+        .withColumn("reason", F.lit(None).cast("string"))
     )
+    return top.unionByName(none)
 
 
 def reasons_by_family(mapping: DataFrame) -> DataFrame:
@@ -156,18 +180,19 @@ def family_variation_top(variation: DataFrame) -> DataFrame:
 
 def diff_totals(per_source: DataFrame) -> DataFrame:
     """Totals of the three sets; fallen only over the sources where it is a statement."""
-    held = F.col("n_fallen").isNull()
     return per_source.agg(
         F.sum("n_new").alias("n_new"),
         F.sum("n_reappeared").alias("n_reappeared"),
         F.sum("n_fallen").alias("n_fallen"),
-        F.count_if(~held).alias("n_sources_with_fallen"),
-        F.array_join(F.array_sort(F.collect_set(F.when(held, F.col("source")))), ",").alias(
-            "suppressed_sources"
-        ),
+        F.count("n_fallen").alias("n_sources_with_fallen"),
     )
 
 
+def suppressed_sources(per_source: DataFrame) -> DataFrame:
+    """The sources that the total of fallen leaves out, one row each."""
+    return per_source.where(F.col("n_fallen").isNull()).select("source")
+
+
 def source_status_table(runs: DataFrame, coverage: DataFrame) -> DataFrame:
     """Run table with the fields below their threshold, as ``field=share`` text."""
     detail = F.format_string("%s=%.4f", "field", "coverage")
@@ -201,9 +226,7 @@ def enrichment_summary(
     families = mapping.agg(F.count("*")).scalar()
     mapped = mapping.agg(F.count_if(F.col("n_techniques") > 0)).scalar()
     errors = internal_errors.agg(F.count("*")).scalar()
-    publishable = runs.where(F.col("source") == family_feed).agg(
-        F.coalesce(F.bool_and(F.col("status").eqNullSafe(m.OK)), F.lit(False))
-    ).scalar()
+    publishable = panorama_publishable(runs, family_feed).scalar()
     return rows.select(
         "*",
         families.alias("n_families"),
@@ -249,14 +272,17 @@ def decision_order(entries: DataFrame, today: Column) -> DataFrame:
     return entries.withColumns(decision_columns(today)).orderBy(*DECISION_ORDER)
 
 
+def _differential(gate: DataFrame, source: str) -> Column:
+    """Whether the source ran and is past its baseline."""
+    return gate.where((F.col("source") == source) & ~F.col("in_baseline")).agg(F.count("*") > 0).scalar()
+
+
 def vuln_section_differential(
     entries: DataFrame, new_keys: DataFrame, gate: DataFrame, today: Column,
     source: str = m.VULN_FEED.name,
 ) -> DataFrame:
     """New and soon-due entries; empty if the source did not run or is in baseline."""
-    open_gate = gate.where((F.col("source") == source) & ~F.col("in_baseline")).agg(
-        F.count("*") > 0
-    ).scalar()
+    open_gate = _differential(gate, source)
     marked = entries.join(
         new_keys.select("canonical_key", F.lit(True).alias("is_new")), "canonical_key", "left"
     ).withColumn("is_new", F.coalesce("is_new", F.lit(False)))
@@ -284,17 +310,28 @@ def vuln_section_baseline(entries: DataFrame, today: Column, head: int = m.BASEL
     return top.unionByName(rest).withColumn("total", total)
 
 
-def work_queue(unclassified: DataFrame, today: Column, new_keys: DataFrame | None = None) -> DataFrame:
-    """Unclassified entries in decision order; in a differential only those of the period."""
-    queue = unclassified
-    if new_keys is not None:
-        queue = unclassified.join(new_keys, "canonical_key", "left_semi")
-    return decision_order(queue, today)
+def work_queue(
+    unclassified: DataFrame, today: Column, new_keys: DataFrame, gate: DataFrame,
+    source: str = m.VULN_FEED.name,
+) -> DataFrame:
+    """Unclassified entries of the period in decision order, each with the total of all of them.
+
+    Empty if the source did not run or is in baseline.
+    """
+    queue = unclassified.join(new_keys, "canonical_key", "left_semi")
+    total = unclassified.agg(F.count("*")).scalar()
+    shown = queue.where(_differential(gate, source))
+    return decision_order(shown.withColumn("total", total), today)
+
+
+def work_queue_total(unclassified: DataFrame) -> DataFrame:
+    """How many entries are unclassified; stated whether or not the queue is shown."""
+    return unclassified.agg(F.count("*").alias("total"))
 
 
 def work_queue_head(unclassified: DataFrame, today: Column, head: int = m.BASELINE_HEAD) -> DataFrame:
     total = unclassified.agg(F.count("*")).scalar()
-    return work_queue(unclassified, today).limit(head).withColumn("total", total)
+    return decision_order(unclassified, today).limit(head).withColumn("total", total)
 
 
 def highlighted(enriched: DataFrame, top: int = m.TOP_HIGHLIGHTED) -> DataFrame:
@@ -319,7 +356,7 @@ def highlighted(enriched: DataFrame, top: int = m.TOP_HIGHLIGHTED) -> DataFrame:
 
 
 def recommendations(soon: DataFrame, runs: DataFrame) -> DataFrame:
-    """What is due with its three earliest, and the sources whose collection needs a look."""
+    """What is due with its three earliest, and a row for each source whose collection needs a look."""
     earliest = (
         soon.orderBy("due_date", "value")
         .limit(m.TOP_RECOMMENDED)
@@ -329,26 +366,43 @@ def recommendations(soon: DataFrame, runs: DataFrame) -> DataFrame:
     patch = soon.agg(F.count("*").alias("n")).where("n > 0").select(
         F.lit("patch").alias("action"), "n", earliest.alias("detail")
     )
-    degraded = runs.where(~F.col("status").eqNullSafe(m.OK))
-    review = degraded.agg(
-        F.countDistinct("source").alias("n"),
-        F.array_join(F.array_sort(F.collect_set("source")), ",").alias("detail"),
-    ).where("n > 0").select(F.lit("review_collection").alias("action"), "n", "detail")
+    degraded = runs.where(~F.col("status").eqNullSafe(m.OK)).select("source").distinct()
+    review = degraded.select(
+        F.lit("review_collection").alias("action"),
+        degraded.agg(F.count("*")).scalar().alias("n"),
+        F.col("source").alias("detail"),
+    )
     return patch.unionByName(review)
 
 
-def judgement_counts(soon: DataFrame, mapping: DataFrame, per_source: DataFrame) -> DataFrame:
-    """Counts behind the report's judgements; one without anything to say is left out."""
+def panorama_publishable(runs: DataFrame, family_feed: str = m.IOC_FEED.name) -> DataFrame:
+    """One row: whether the family feed ran and all its runs were correct."""
+    ok = F.coalesce(F.bool_and(F.col("status").eqNullSafe(m.OK)), F.lit(False))
+    return runs.where(F.col("source") == family_feed).agg(ok.alias("publishable"))
+
+
+def judgement_counts(
+    soon: DataFrame, mapping: DataFrame | None, per_source: DataFrame, runs: DataFrame
+) -> DataFrame:
+    """Counts behind the report's judgements; one without anything to say is left out.
+
+    Families are judged only if the stage ran (``mapping`` is not None) and the panorama of their
+    feed may be published.
+    """
     ransomware = soon.agg(
         F.count_if(F.lower("ransomware") == "known").alias("part"), F.count("*").alias("total")
     ).select(F.lit("due_soon_with_ransomware").alias("judgement"), "part", "total").where("part > 0")
-    no_entry = mapping.agg(
-        F.count_if(F.col("reason") == m.FAMILY_NO_ENTRY).alias("part"), F.count("*").alias("total")
-    ).select(F.lit("families_without_entry").alias("judgement"), "part", "total").where("total > 0")
+    judged = ransomware.limit(0)
+    if mapping is not None:
+        shown = panorama_publishable(runs).scalar()
+        judged = mapping.agg(
+            F.count_if(F.col("reason") == m.FAMILY_NO_ENTRY).alias("part"), F.count("*").alias("total")
+        ).select(F.lit("families_without_entry").alias("judgement"), "part", "total")
+        judged = judged.where((F.col("total") > 0) & shown)
     held = per_source.agg(
         F.count_if(F.col("n_fallen").isNull()).alias("part"), F.count("*").alias("total")
     ).select(F.lit("sources_with_fallen_suppressed").alias("judgement"), "part", "total").where("part > 0")
-    return ransomware.unionByName(no_entry).unionByName(held).limit(m.TOP_JUDGEMENTS)
+    return ransomware.unionByName(judged).unionByName(held)
 
 
 # --- gates and ledgers ---------------------------------------------------------------------

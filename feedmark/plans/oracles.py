@@ -46,12 +46,13 @@ ioc AS (
     CASE WHEN shape = 9 THEN CASE ln % 3 WHEN 0 THEN '[.]' WHEN 1 THEN '(.)' ELSE '.' END ELSE value END AS spelling,
     CASE WHEN disc = 10 THEN 40 ELSE disc * 11 END AS confidence,
     CASE WHEN tax IN (7, 8) THEN NULL
+         WHEN k % 97 = 0 THEN 'win.漢字'
          WHEN k % 17 = 0 THEN 'win.zz' || k
          WHEN k % 10 = 0 AND ls = 'F' THEN 'elf.part_kit_' || k
          ELSE 'win.part_kit_' || k END AS family_id,
-    CASE WHEN ln = 1 THEN 'PART-KIT ' || k WHEN ln = 2 AND k % 19 = 0 THEN 'Pärt Kit ' || k
+    CASE WHEN k % 97 = 0 THEN '漢字' WHEN ln = 1 THEN 'PART-KIT ' || k WHEN ln = 2 AND k % 19 = 0 THEN 'Pärt Kit ' || k
          ELSE 'Part Kit ' || k END AS family_label,
-    CASE WHEN k % 11 = 0 THEN ['Alt ' || (k + 1), 'kit ' || k]
+    CASE WHEN k % 97 = 0 THEN [] WHEN k % 11 = 0 THEN ['Alt ' || (k + 1), 'kit ' || k]
          WHEN k % 13 = 0 THEN ['Kit-Group ' || (k % 100)]
          WHEN ln = 3 THEN ['A' || k, 'B ' || k] ELSE [] END AS aliases,
     CASE WHEN rf = 'A' THEN 'botnet_cc' ELSE 'payload' END AS threat_type,
@@ -69,13 +70,18 @@ ioc AS (
 ),
 ioc_raw AS (
   SELECT *, NOT loose AND o % 223 = 0 AS no_ioc, NOT loose AND o % 223 <> 0 AND o % 227 = 0 AS loose_tags,
+    o % 229 = 0 OR o % 233 = 0 OR o % 239 = 0 AS odd_level,
     CASE WHEN loose THEN 'not_an_object'
          WHEN o % 223 = 0 THEN 'ioc_missing'
+         WHEN fault IN ('unsupported_type', 'ipv6_malformed') THEN fault
+         WHEN o % 229 = 0 OR o % 233 = 0 OR o % 239 = 0 THEN 'confidence_out_of_range'
          WHEN fault IS NOT NULL THEN fault
          WHEN o % 227 = 0 THEN 'tags_not_a_list' END AS raw_fault
   FROM ioc
 ),
-ioc_ok AS (SELECT * FROM ioc WHERE fault IS NULL)
+ioc_ok AS (
+  SELECT * REPLACE (CASE WHEN run_id = '1999' THEN [] ELSE aliases END AS aliases) FROM ioc_raw WHERE raw_fault IS NULL
+)
 """
 
 VULN = """
@@ -83,7 +89,7 @@ entry AS (
   SELECT o_orderkey AS o, 'cisa-kev' AS source, CAST(year(o_orderdate) AS VARCHAR) AS run_id,
     CAST(o_orderdate AS DATE) AS added,
     'CVE-' || year(o_orderdate) || '-' || o_orderkey AS value,
-    o_custkey % 40 AS vendor_no, o_orderkey % 12 AS product_no,
+    CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS cust, o_custkey % 40 AS vendor_no, o_orderkey % 12 AS product_no,
     CASE WHEN o_orderpriority = '2-HIGH' THEN 'VENDOR-' ELSE 'Vendor ' END || (o_custkey % 40) AS vendor,
     'Suite ' || (o_orderkey % 12) AS product,
     CASE WHEN o_orderkey % 89 = 0 THEN 'n/a' WHEN o_orderkey % 83 = 0 THEN NULL
@@ -184,7 +190,7 @@ resolved AS (
            CASE WHEN h.n_software > 1 THEN 'ambiguedad_catalogo' ELSE 'ambiguedad_origen' END
          WHEN v.n_targets > 1 THEN 'ambiguedad_candidatos' END AS reason,
     v.target, a.name AS first_name, a.authority AS first_authority
-  FROM (SELECT DISTINCT family_id FROM candidate) f
+  FROM (SELECT DISTINCT family_id FROM name_list) f
   LEFT JOIN verdict v USING (family_id)
   LEFT JOIN hit h ON h.family_id = v.family_id AND h.place = v.stop_at
   LEFT JOIN hit a ON a.family_id = v.family_id AND a.place = 1
@@ -258,12 +264,14 @@ enriched AS (
   SELECT sha256(i.type || i.value || 'threatfox') AS id, i.source, i.type, i.value, i.confidence, i.family_label,
     CASE WHEN i.family_id IS NULL THEN 'sin_atribucion' ELSE f.reason END AS reason,
     coalesce(f.technique_ids, '') AS technique_ids, coalesce(f.n_techniques, 0) AS n_techniques,
-    CASE WHEN f.n_techniques > 0 THEN 'derived' END AS mapping_method, f.mapping_confidence
+    CASE WHEN f.n_techniques > 0 THEN 'derived' END AS mapping_method, f.mapping_confidence,
+    md5(i.family_label || i.threat_type) AS raw
   FROM ioc_ok i LEFT JOIN mapping f USING (family_id)
   UNION ALL
   SELECT sha256('vulnerability' || value || 'cisa-kev'), source, type, value, confidence, NULL, reason,
     coalesce(technique_id, ''), CASE WHEN technique_id IS NULL THEN 0 ELSE 1 END,
-    CASE WHEN technique_id IS NOT NULL THEN 'inferred' END, CASE WHEN technique_id IS NOT NULL THEN 'low' END
+    CASE WHEN technique_id IS NOT NULL THEN 'inferred' END, CASE WHEN technique_id IS NOT NULL THEN 'low' END,
+    md5(value || vendor || 'Flaw ' || cust)
   FROM vuln_enriched
 )
 """
@@ -284,7 +292,7 @@ ev AS (
     sha256('domain-name' || value) AS canonical_key,
     CASE WHEN k >= 10 THEN 'fam' || (k // 10) END AS family, k AS confidence, ts AS last_seen,
     date_trunc('day', ts) AS ingested_at,
-    CASE WHEN ts >= TIMESTAMP '2024-01-21' THEN 2 WHEN ts >= TIMESTAMP '2024-01-11' THEN 1 ELSE 0 END AS snapshot
+    CASE WHEN ts >= TIMESTAMP '2024-01-21' AND source NOT LIKE 'view-%' AND source <> 'click-1' THEN 2 WHEN ts >= TIMESTAMP '2024-01-11' THEN 1 ELSE 0 END AS snapshot
   FROM ev_base
 ),
 best AS (
@@ -294,11 +302,11 @@ best AS (
 ),
 snap AS (SELECT * FROM best WHERE pos = 1),
 obs AS (
-  SELECT * FROM snap WHERE snapshot = 2 AND source NOT LIKE 'view-%' AND source <> 'click-1'
+  SELECT * FROM snap WHERE snapshot = 2
 ),
 obs_rows AS (
   SELECT source, count(*) AS n FROM ev
-  WHERE snapshot = 2 AND source NOT LIKE 'view-%' AND source <> 'click-1' GROUP BY source
+  WHERE snapshot = 2 GROUP BY source
 ),
 prior AS (
   SELECT source, canonical_key, value, family, last_seen, ingested_at, 'presente' AS status,
@@ -433,7 +441,7 @@ verdicts AS (
 _IOC_FIELDS = {
     "ioc": "NOT no_ioc",
     "ioc_type": "true",
-    "confidence_level": "disc <> 10",
+    "confidence_level": "disc <> 10 OR odd_level",
     "first_seen": "true",
     "malware": "tax <> 7",
     "threat_type": "true",
@@ -589,7 +597,8 @@ SELECT fault, count(*) AS n_rules FROM rule_checked WHERE fault IS NOT NULL GROU
 SELECT s.source, s.status, s.n, strftime({watermark.replace('status', 'g.status')}, '%Y-%m-%d %H:%M:%S') AS watermark
 FROM (SELECT source, status, count(*) AS n FROM state GROUP BY 1, 2) s JOIN pub g USING (source)"""
     out["write_full_dump"] = _with(*ALL_ENRICHED) + """
-SELECT source, type, count(*) AS n, count(DISTINCT id) AS n_ids, CAST(sum(n_techniques) AS BIGINT) AS n_techniques
+SELECT source, type, count(*) AS n, count(DISTINCT id) AS n_ids, CAST(sum(n_techniques) AS BIGINT) AS n_techniques,
+  count(DISTINCT raw) AS n_raw, min(raw) AS first_raw, max(raw) AS last_raw
 FROM enriched GROUP BY 1, 2"""
     out["append_source_runs"] = _with(*QUALITY) + """
 SELECT source, run_id, status, records, invalid, unsupported,
@@ -777,7 +786,7 @@ FROM technique GROUP BY 1, 2 ORDER BY n_families DESC, technique_id, technique_n
     out["inferred_frequency"] = _with(VULN, RULES, VULN_ENRICHED) + """
 , period AS (SELECT * FROM vuln_enriched WHERE added BETWEEN DATE '1998-06-02' AND DATE '1998-06-15')
 SELECT technique_id, count(*) AS n_entries, (SELECT count(*) FROM period) AS total_entries,
-  CAST(count(*) * 100 // (SELECT count(*) FROM period) AS BIGINT) AS percent
+  CAST(count(*) * 100 // (SELECT count(*) FROM period) AS BIGINT) AS percent, CAST(NULL AS VARCHAR) AS reason
 FROM period WHERE technique_id IS NOT NULL GROUP BY technique_id ORDER BY n_entries DESC, technique_id LIMIT 10""".lstrip("\n")
     out["reasons_by_family"] = _with(*ALL_FAMILY) + """
 SELECT reason, count(*) AS n_families FROM mapping WHERE reason IS NOT NULL GROUP BY reason"""
@@ -812,9 +821,9 @@ SELECT type, count(*) AS n_observations FROM (SELECT type FROM ioc_ok UNION ALL
 SELECT family, delta FROM variation ORDER BY abs(delta) DESC, family LIMIT 10"""
     out["diff_totals"] = _with(EVENTS) + """
 SELECT CAST(sum(n_new) AS BIGINT) AS n_new, CAST(sum(n_reappeared) AS BIGINT) AS n_reappeared,
-  CAST(sum(n_fallen) AS BIGINT) AS n_fallen, count(n_fallen) AS n_sources_with_fallen,
-  coalesce(string_agg(source, ',' ORDER BY source) FILTER (n_fallen IS NULL), '') AS suppressed_sources
-FROM diff_source"""
+  CAST(sum(n_fallen) AS BIGINT) AS n_fallen, count(n_fallen) AS n_sources_with_fallen, CAST(NULL AS VARCHAR) AS suppressed_source
+FROM diff_source
+UNION ALL SELECT NULL, NULL, NULL, NULL, source FROM diff_source WHERE n_fallen IS NULL"""
     out["source_status_table"] = _with(*QUALITY) + """
 SELECT source, run_id, status, records, invalid, unsupported, evaluated, coalesce(details, '') AS short_fields FROM statuses"""
     out["judgement_counts"] = _with(*ALL_FAMILY, VULN, _DUE, EVENTS) + """
@@ -822,13 +831,14 @@ SELECT 'due_soon_with_ransomware' AS judgement, count(*) FILTER (ransomware = 'K
 FROM due WHERE soon HAVING count(*) FILTER (ransomware = 'Known') > 0
 UNION ALL
 SELECT 'families_without_entry', count(*) FILTER (reason = 'familia_sin_entrada'), count(*) FROM mapping
+HAVING NOT EXISTS (SELECT 1 FROM ioc_raw WHERE raw_fault IS NOT NULL AND raw_fault <> 'unsupported_type')
 UNION ALL
 SELECT 'sources_with_fallen_suppressed', count(*) FILTER (n_fallen IS NULL), count(*) FROM diff_source"""
     out["enrichment_summary"] = _with(*ALL_ENRICHED) + """
 SELECT count(*) AS n_rows, count(*) FILTER (n_techniques > 0) AS n_with_technique,
   count(*) FILTER (n_techniques = 0) AS n_without, (SELECT count(*) FROM mapping) AS n_families,
   (SELECT count(*) FROM mapping WHERE n_techniques > 0) AS n_families_mapped, CAST(0 AS BIGINT) AS n_internal_errors,
-  NOT EXISTS (SELECT 1 FROM ioc WHERE fault IS NOT NULL AND fault <> 'unsupported_type') AS panorama_publishable
+  NOT EXISTS (SELECT 1 FROM ioc_raw WHERE raw_fault IS NOT NULL AND raw_fault <> 'unsupported_type') AS panorama_publishable
 FROM enriched"""
 
     # differences and state
@@ -916,7 +926,8 @@ FROM (SELECT *, row_number() OVER (ORDER BY {_DECISION}) AS pos FROM due) WHERE
     unclassified = """
 , queue AS (SELECT d.* FROM due d JOIN vuln_enriched e USING (value) WHERE e.reason = 'producto_sin_clasificar')""".lstrip("\n")
     out["work_queue"] = _with(VULN, RULES, VULN_ENRICHED, _DUE) + unclassified + """
-SELECT value, due_date, ransomware FROM queue WHERE is_new"""
+SELECT value, due_date, ransomware, (SELECT count(*) FROM queue) AS total FROM queue WHERE is_new
+UNION ALL SELECT NULL, NULL, NULL, count(*) FROM queue"""
     out["work_queue_head"] = _with(VULN, RULES, VULN_ENRICHED, _DUE) + unclassified + f"""
 SELECT value, due_date, (SELECT count(*) FROM queue) AS total FROM queue ORDER BY {_DECISION} LIMIT 20"""
     out["highlighted"] = _with(*ALL_ENRICHED) + f"""
@@ -931,15 +942,16 @@ SELECT 'patch' AS action, (SELECT count(*) FROM soon) AS n,
   (SELECT string_agg(due_date || ' ' || value, ',' ORDER BY due_date, value) FROM (SELECT * FROM soon ORDER BY due_date, value LIMIT 3)) AS detail
 WHERE (SELECT count(*) FROM soon) > 0
 UNION ALL
-SELECT 'review_collection', count(*), string_agg(source, ',' ORDER BY source) FROM run WHERE status <> 'correcta'""".lstrip("\n")
+SELECT 'review_collection', (SELECT count(*) FROM run WHERE status <> 'correcta'), source FROM run WHERE status <> 'correcta'""".lstrip("\n")
 
     # streaming
     out["stream_snapshots"] = _with(EVENTS) + f"""
 , last_seen_in AS (SELECT source, canonical_key, max(snapshot) AS last FROM snap GROUP BY 1, 2)
-SELECT s.source, s.canonical_key, s.value, s.family, CASE l.last WHEN 2 THEN 'presente' ELSE 'caido' END AS status,
-  CASE l.last WHEN 1 THEN '2024-01-31 00:00:00' WHEN 0 THEN '2024-01-21 00:00:00' END AS fallen_since,
+SELECT s.source, s.canonical_key, s.value, s.family, CASE WHEN l.last = 2 OR l.last = 1 AND quiet THEN 'presente' ELSE 'caido' END AS status,
+  CASE WHEN l.last = 1 AND NOT quiet THEN '2024-01-31 00:00:00' WHEN l.last = 0 THEN '2024-01-21 00:00:00' END AS fallen_since,
   strftime(s.last_seen, '%Y-%m-%d %H:%M:%S') AS last_seen, strftime(s.ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
-FROM last_seen_in l JOIN snap s ON s.source = l.source AND s.canonical_key = l.canonical_key AND s.snapshot = l.last""".lstrip("\n")
+FROM (SELECT *, source LIKE 'view-%' OR source = 'click-1' AS quiet FROM last_seen_in) l
+JOIN snap s ON s.source = l.source AND s.canonical_key = l.canonical_key AND s.snapshot = l.last""".lstrip("\n")
     out["stream_reappearance"] = _with(EVENTS) + """
 , run_at AS (SELECT * FROM (VALUES (0, '2024-01-11 00:00:00'), (1, '2024-01-21 00:00:00'), (2, '2024-01-31 00:00:00')) v(snapshot, run_start)),
 sighting AS (
@@ -959,8 +971,8 @@ days AS (
   SELECT unnest(generate_series((SELECT min(date_trunc('day', ts)) FROM seen) - INTERVAL 4 DAY,
     (SELECT max(date_trunc('day', ts)) FROM seen), INTERVAL 1 DAY)) AS start
 )
-SELECT strftime(d.start, '%Y-%m-%d') AS window_start, count(DISTINCT s.k) AS n_families, count(*) AS n_observations
+SELECT strftime(d.start, '%Y-%m-%d') AS window_start, count(DISTINCT s.k) AS n_families, count(*) AS n_observations,
+  d.start + INTERVAL 7 DAY <= (SELECT max(ts) FROM seen) AS closed
 FROM days d JOIN seen s ON s.ts >= d.start AND s.ts < d.start + INTERVAL 5 DAY
-WHERE d.start + INTERVAL 5 DAY <= (SELECT max(ts) FROM seen)
-GROUP BY 1"""
+GROUP BY d.start"""
     return out

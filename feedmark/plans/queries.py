@@ -98,7 +98,7 @@ def scan_window_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_stix_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _landed(w.spread(w.catalog_objects(spark, sf_dir)), "catalogue-objects")
+    path = _landed(w.catalog_objects(spark, sf_dir), "catalogue-objects")
     objects = catalog.read_object_lines(spark, path)
     return _counts(
         objects=objects,
@@ -169,8 +169,17 @@ def write_full_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "enriched-dump")
     tables.write_enriched(_enriched(spark, sf_dir)[0], path)
     dumped = spark.read.parquet(path)
-    return dumped.groupBy("source", "type").agg(
-        F.count("*").alias("n"), F.countDistinct("id").alias("n_ids"), F.sum("n_techniques").alias("n_techniques")
+    of_record = lambda *names: F.md5(F.concat(*(F.try_variant_get("raw", f"$.{x}", "string") for x in names)))
+    whole = F.when(F.col("type") == m.VULNERABILITY, of_record("cveID", "vendorProject", "vulnerabilityName")).otherwise(
+        of_record("malware_printable", "threat_type")
+    )
+    return dumped.withColumn("raw_digest", whole).groupBy("source", "type").agg(
+        F.count("*").alias("n"),
+        F.countDistinct("id").alias("n_ids"),
+        F.sum("n_techniques").alias("n_techniques"),
+        F.countDistinct("raw_digest").alias("n_raw"),
+        F.min("raw_digest").alias("first_raw"),
+        F.max("raw_digest").alias("last_raw"),
     )
 
 
@@ -180,8 +189,8 @@ def append_source_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "source-runs")
     ioc, vuln = _ioc_runs(spark, sf_dir), _vuln_runs(spark, sf_dir)
     for runs in (ioc, vuln, vuln):
-        tables.append_source_runs(runs, f"{path}/{'ioc' if runs is ioc else 'vuln'}")
-    history = spark.read.parquet(f"{path}/ioc").unionByName(spark.read.parquet(f"{path}/vuln"))
+        tables.append_source_runs(runs, path)
+    history = spark.read.parquet(path)
     return history.select(
         "source",
         F.col("run_id").cast("string").alias("run_id"),
@@ -439,8 +448,9 @@ def software_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     software = catalog.software(w.catalog_objects(spark, sf_dir))
     # Read several times below: written once instead of folding the names again for each.
-    candidates = stage(fam.family_candidates(_family_names(spark, sf_dir)), "candidates")
-    return fam.resolve_families(candidates, fam.catalog_index(fam.catalog_names(software)))
+    names = stage(_family_names(spark, sf_dir), "family-names")
+    candidates = stage(fam.family_candidates(names), "candidates")
+    return fam.resolve_families(names, candidates, fam.catalog_index(fam.catalog_names(software)))
 
 
 @query
@@ -644,7 +654,11 @@ def _diff_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def diff_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.diff_totals(_diff_sources(spark, sf_dir))
+    """The totals, and below them a row for each source that the total of fallen leaves out."""
+    per_source = stage(_diff_sources(spark, sf_dir), "diff-sources")
+    totals = r.diff_totals(per_source).withColumn("suppressed_source", F.lit(None).cast("string"))
+    left_out = r.suppressed_sources(per_source).withColumnRenamed("source", "suppressed_source")
+    return totals.unionByName(left_out, allowMissingColumns=True)
 
 
 @query
@@ -662,7 +676,8 @@ def _due_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def judgement_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     soon = r.due_soon(_due_entries(spark, sf_dir), w.today())
-    return r.judgement_counts(soon, _mapped(spark, sf_dir)[0], _diff_sources(spark, sf_dir))
+    feed_status = q.batch_status(q.batch_counts(w.normalized_ioc(spark, sf_dir)))
+    return r.judgement_counts(soon, _mapped(spark, sf_dir)[0], _diff_sources(spark, sf_dir), feed_status)
 
 
 @query
@@ -845,15 +860,16 @@ def decision_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("value", "due_date", _long("decision_band"), _long("decision_days"), "no_ransomware")
 
 
+def _vuln_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = q.batch_counts(w.vuln_observations(spark, sf_dir))
+    return runs.groupBy("source").agg(F.lit(False).alias("in_baseline"))
+
+
 @query
 def vuln_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The differential section and the baseline section, told apart by ``mode``."""
     entries = _due_entries(spark, sf_dir)
-    gate = (
-        q.batch_counts(w.vuln_observations(spark, sf_dir))
-        .groupBy("source")
-        .agg(F.lit(False).alias("in_baseline"))
-    )
+    gate = _vuln_gate(spark, sf_dir)
     diff = r.vuln_section_differential(entries, _new_entries(spark, sf_dir), gate, w.today())
     head = r.vuln_section_baseline(entries, w.today())
     return (
@@ -869,8 +885,11 @@ def _unclassified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = r.work_queue(_unclassified(spark, sf_dir), w.today(), _new_entries(spark, sf_dir))
-    return rows.select("value", "due_date", "ransomware")
+    """The queue of the period; its last row, without a value, states the total of all open entries."""
+    open_ = _unclassified(spark, sf_dir)
+    rows = r.work_queue(open_, w.today(), _new_entries(spark, sf_dir), _vuln_gate(spark, sf_dir))
+    rows = rows.select("value", "due_date", "ransomware", "total")
+    return rows.unionByName(r.work_queue_total(open_), allowMissingColumns=True)
 
 
 @query
@@ -912,38 +931,31 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_reappearance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same three drops followed key by key in the state of the stream."""
+    """The same three drops followed key by key; the second one lands last."""
     root = new_folder(spark, "follow")
     events = w.event_rows(spark, sf_dir).select("source", "canonical_key", "snapshot")
-    drops = [
-        events.where(F.col("snapshot") == number).select(
-            "source", "canonical_key", F.lit(day).cast("timestamp").alias("run_start")
-        )
-        for number, day in enumerate(w.SNAPSHOT_DAYS[1:])
-    ]
-    schema = "source string, canonical_key string, run_start timestamp"
-    for drop in drops:
+    follower = st.KeySightings(spark, f"{root}/out", 10 * values.DAY_SECONDS)
+    for number in (0, 2, 1):
+        started = F.lit(w.SNAPSHOT_DAYS[number + 1]).cast("timestamp")
+        drop = events.where(F.col("snapshot") == number).select("source", "canonical_key", started.alias("run_start"))
         drop.write.mode("append").parquet(f"{root}/landing")
-        stream = spark.readStream.schema(schema).parquet(f"{root}/landing")
-        st.run_to_table(st.follow_keys(stream, 10 * values.DAY_SECONDS), f"{root}/out", f"{root}/checkpoint")
-    out = spark.read.schema(st.REAPPEARANCE_SCHEMA).parquet(f"{root}/out")
-    return out.select("source", "canonical_key", "member", _time("run_start"))
+        schema = "source string, canonical_key string, run_start timestamp"
+        follower.drain(f"{root}/landing", schema, f"{root}/checkpoint")
+    return follower.members().select("source", "canonical_key", "member", _time("run_start"))
 
 
 @query
 def sliding_family_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events in three drops, each with days of the whole period; windows are closed two days after their end."""
     root = new_folder(spark, "census")
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     k = F.get_json_object("props", "$.k").cast("int")
-    rows = stream.select(
-        F.col("ts").cast("timestamp").alias("seen_at"),
-        F.concat(F.lit("fam"), k).alias("family"),
-    )
-    st.run_to_table(st.sliding_family_census(rows, "seen_at"), f"{root}/out", f"{root}/checkpoint")
-    out = spark.read.schema(
-        "window struct<start: timestamp, end: timestamp>, n_families bigint, n_observations bigint"
-    ).parquet(f"{root}/out")
-    return out.select(
-        F.date_format("window.start", "yyyy-MM-dd").alias("window_start"), "n_families", "n_observations"
+    rows = w.table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("seen_at"), F.concat(F.lit("fam"), k).alias("family")
+    )
+    census = st.SlidingCensus(spark, f"{root}/out", delay="2 days")
+    for number in (2, 0, 1):
+        rows.where(F.dayofyear("seen_at") % 3 == number).write.mode("append").parquet(f"{root}/landing")
+        census.drain(f"{root}/landing", "seen_at timestamp, family string", f"{root}/checkpoint")
+    return census.census().select(
+        F.date_format("start", "yyyy-MM-dd").alias("window_start"), "n_families", "n_observations", "closed"
     )

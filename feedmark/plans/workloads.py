@@ -35,12 +35,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table of few files over all cores, for the work that shapes them into records."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
@@ -108,20 +102,24 @@ def ioc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(shape == 8, _text("sha3-", o))
         .otherwise(_text("Bot", s, dot, "net"))
     )
+    unwritten = k % 97 == 0  # names without a Latin letter or digit
     family = (
         F.when(tax == 8, F.lit("Unknown"))
         .when(tax == 7, F.lit(None))
+        .when(unwritten, F.lit("win.漢字"))
         .when(k % 17 == 0, _text("win.zz", k))
         .when((k % 10 == 0) & (F.col("l_linestatus") == "F"), _text("elf.part_kit_", k))
         .otherwise(_text("win.part_kit_", k))
     )
     printable = (
-        F.when(line == 1, _text("PART-KIT ", k))
+        F.when(unwritten, F.lit("漢字"))
+        .when(line == 1, _text("PART-KIT ", k))
         .when((line == 2) & (k % 19 == 0), _text("Pärt Kit ", k))
         .otherwise(_text("Part Kit ", k))
     )
     alias = (
-        F.when(k % 11 == 0, _text("Alt ", k + 1, ", kit ", k))
+        F.when(unwritten, F.lit(None))
+        .when(k % 11 == 0, _text("Alt ", k + 1, ", kit ", k))
         .when(k % 13 == 0, _text("Kit-Group ", k % 100))
         .when(line == 3, _text("A", k, ",,B ", k))
     )
@@ -139,7 +137,7 @@ def ioc_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
             _text(_day("l_shipdate", shift=1), " 12:00:00 UTC")
         ),
     )
-    return spread(table(spark, sf_dir, "lineitem")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.lit(m.IOC_FEED.name).alias("source"),
         year.cast("string").alias("run_id"),
         ioc.alias("ioc"),
@@ -192,6 +190,10 @@ def ioc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("run_id") == "1999", as_json(*without("malware_alias")))
         .otherwise(as_json(*_IOC_JSON))
     )
+    # Confidences that no whole number, or no number, can hold.
+    odd = F.when(o % 229 == 0, F.lit("3000000000")).when(o % 233 == 0, F.lit("1e99")).when(o % 239 == 0, F.lit('"NaN"'))
+    told = F.concat(F.lit('"confidence_level":'), odd)
+    body = F.when(odd.isNull(), body).otherwise(F.regexp_replace(body, r'"confidence_level":[^,}]*', told))
     return rows.select("source", "run_id", body.alias("body"))
 
 
@@ -217,7 +219,7 @@ def vuln_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(o % 83 == 0, F.lit(None))
         .otherwise(_day("o_orderdate", shift=21))
     )
-    return spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         F.lit(m.VULN_FEED.name).alias("source"),
         year.cast("string").alias("run_id"),
         F.when(o % 71 != 0, _text("CVE-", year, "-", o)).alias("cveID"),
@@ -292,7 +294,7 @@ def window_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 6, envelope("ok", data=F.array().cast("array<string>")))
         .otherwise(envelope("ok", data=F.array(record, record)))
     )
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         F.lit(m.IOC_FEED.name).alias("source"),
         F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         F.col("event_id").cast("string").alias("doc_id"),
@@ -305,13 +307,13 @@ def window_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _normalized_ioc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = landed(spark, sf_dir, "ioc-fields", ioc_fields)
-    return n.normalize_ioc_fields(n.typed_fields(fields, n.IOC_READS)).drop("_order", "_line")
+    return n.normalize_ioc_feed(ioc_batch(spark, sf_dir))
 
 
 def _normalized_vuln(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = landed(spark, sf_dir, "vuln-fields", vuln_fields)
-    return n.normalize_vuln_fields(n.typed_fields(fields, n.VULN_READS)).drop("_order")
+    """Entries joined on the day they state; an entry without a legible day is invalid."""
+    rows = n.normalize_vuln_feed(vuln_batch(spark, sf_dir))
+    return rows.withColumn("_added", F.col("first_seen").cast("date"))
 
 
 def normalized_ioc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,8 +347,6 @@ def land_all(spark: SparkSession, sf_dir: str) -> None:
     for name, build in (
         ("ioc-lines", ioc_lines),
         ("vuln-lines", vuln_lines),
-        ("ioc-fields", ioc_fields),
-        ("vuln-fields", vuln_fields),
         ("ioc-normalized", _normalized_ioc),
         ("vuln-normalized", _normalized_vuln),
     ):
@@ -455,13 +455,17 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as observed rows, with ``snapshot`` 0, 1 or 2."""
     k = F.get_json_object("props", "$.k").cast("int")
     ts = F.col("ts").cast("timestamp")
+    source = _text(F.col("event_type"), "-", F.col("user_id") % 3)
+    # Feeds without a drop of their own in the last snapshot: their late events came in the one before.
+    silent = source.startswith("view-") | (source == "click-1")
     value = _text("u", F.col("user_id"), "-k", k % 10, ".example.com")
     kind = F.lit(m.DOMAIN)
     snapshot = F.lit(0)
     for number, day in enumerate(SNAPSHOT_DAYS[1:-1], 1):
-        snapshot = F.when(ts >= F.lit(day).cast("timestamp"), F.lit(number)).otherwise(snapshot)
+        reached = (ts >= F.lit(day).cast("timestamp")) & ~(silent & F.lit(number == 2))
+        snapshot = F.when(reached, F.lit(number)).otherwise(snapshot)
     return table(spark, sf_dir, "events").select(
-        _text(F.col("event_type"), "-", F.col("user_id") % 3).alias("source"),
+        source.alias("source"),
         values.canonical_key(kind, value).alias("canonical_key"),
         kind.alias("type"),
         value.alias("value"),
@@ -475,9 +479,8 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observed_today(events: DataFrame) -> DataFrame:
-    """Rows of the last snapshot; the unchanged and the empty feeds deliver none."""
-    silent = F.col("source").startswith("view-") | (F.col("source") == "click-1")
-    return events.where((F.col("snapshot") == 2) & ~silent).drop("snapshot")
+    """Rows of the last snapshot; the unchanged and the empty feeds have none."""
+    return events.where(F.col("snapshot") == 2).drop("snapshot")
 
 
 def prior_state(events: DataFrame) -> DataFrame:

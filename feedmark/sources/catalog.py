@@ -68,8 +68,3 @@ def uses(objects: DataFrame) -> DataFrame:
     return objects.where(
         (F.col("type") == "relationship") & (F.col("relationship_type") == "uses")
     ).select("source_ref", "target_ref")
-
-
-def is_bundle(document: Column) -> Column:
-    """True when a raw document carries the object list."""
-    return records.elements(document, "objects").isNotNull()

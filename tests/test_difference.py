@@ -204,6 +204,7 @@ def test_lookup_join_gives_the_same_beyond_the_broadcast_bound(spark):
     facts = spark.range(1000).select(F.when(F.col("id") < 700, 0).otherwise(F.col("id") % 5).alias("k"), F.col("id"))
     table = spark.createDataFrame([(0, "x"), (1, "y"), (2, None)], "k long, v string")
     assert lookup.is_small(table, 3) and not lookup.is_small(table, 2)
+    assert not lookup.is_small(table, 3, max_bytes=20)
     for how in ("left", "inner"):
         small = lookup.join_lookup(facts, table, ["k"], how)
         salted = lookup.join_lookup(facts, table, ["k"], how, max_rows=0)

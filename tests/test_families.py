@@ -69,6 +69,14 @@ def test_every_outcome_with_its_control(spark):
     assert rows == [("T1001", 2, m.HIGH), ("T1005", 1, m.HIGH)]
 
 
+def test_a_family_without_a_latin_name_stays(spark):
+    mapping, _ = mapped(spark, [("win.漢字", "漢字", None), ("win.alpha", "Alpha", None)])
+    assert {x["family_id"]: x["reason"] for x in mapping.collect()} == {"win.漢字": m.FAMILY_NO_ENTRY, "win.alpha": None}
+    rows = spark.createDataFrame([("threatfox", "v", "win.漢字")], "source string, value string, family_id string")
+    kept, broken = e.enrichment_invariant(e.enrich_by_family(rows, mapping))
+    assert kept.first()["reason"] == m.FAMILY_NO_ENTRY and broken.count() == 0
+
+
 def test_candidate_ambiguity_and_feed_authority(spark):
     mapping, techniques = mapped(spark, [("win.two", "Nope", "Quiet,Gamma"), ("win.y", "Gamma Ray", None)])
     assert {x["family_id"]: x["reason"] for x in mapping.collect()}["win.two"] == m.AMBIGUOUS_CANDIDATES

@@ -32,7 +32,7 @@ GOOD = {
 
 def verdicts(spark, *changes):
     rows = n.normalize_ioc_feed(batch(spark, [{**GOOD, **c, "n": str(i)} for i, c in enumerate(changes)]))
-    got = rows.select(F.expr("variant_get(record, '$.n', 'int')").alias("n"), "verdict", "reason").collect()
+    got = rows.select(F.expr("variant_get(raw, '$.n', 'int')").alias("n"), "verdict", "reason").collect()
     return [(r["verdict"], r["reason"]) for r in sorted(got)]
 
 
@@ -146,6 +146,24 @@ def test_coverage_floor_and_evaluation(spark):
     assert half["evaluated"] and not fewer["evaluated"] and fewer["coverage"] is None
 
 
+def test_no_number_ends_the_job_and_the_record_stays(spark):
+    levels = [3000000000, -3000000000, 1e99, "NaN", "1e99", "9" * 30, True, -0.5, 100.9, 101, [], {}]
+    rows = n.normalize_ioc_feed(batch(spark, [{**GOOD, "confidence_level": x, "n": i} for i, x in enumerate(levels)]))
+    got = sorted(rows.select(F.expr("variant_get(raw, '$.n', 'int')").alias("n"), "verdict", "reason", "confidence").collect())
+    bad = ("invalid", "confidence_out_of_range", None)
+    assert [tuple(r[1:]) for r in got] == [bad] * 6 + [("valid", None, 1), ("valid", None, 0), ("valid", None, 100)] + [bad] * 3
+    vuln = n.normalize_vuln_feed(batch(spark, [{"cveID": "CVE-1", "note": "kept"}], "cisa-kev")).select(*n.OBSERVATION_COLUMNS)
+    assert vuln.select(F.expr("variant_get(raw, '$.note', 'string')")).first()[0] == "kept"
+
+
+def test_times_that_are_given(spark):
+    given = ["0", "false", 5, 0.5, True, [1], {"a": 1}, "x"]
+    not_given = [None, "", 0, 0.0, False, [], {}]
+    for values, n_given in ((given, len(given)), (not_given, 0)):
+        rows = q.broken_time_formats(batch(spark, [{**GOOD, "last_seen": v} for v in values]), {"last_seen": "datetime"}).collect()
+        assert sum(r["n_given"] for r in rows) == n_given and all(r["broken"] for r in rows)
+
+
 def test_missing_fields_and_broken_times(spark):
     gone = [{k: v for k, v in GOOD.items() if k not in ("malware",)} | {"reference": None}]
     assert [r["field"] for r in q.missing_fields(batch(spark, gone), m.IOC_FEED.expected_fields).collect()] == ["malware"]

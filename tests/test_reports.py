@@ -47,7 +47,12 @@ def test_sections(spark):
 def test_work_queue(spark):
     table = entries(spark, *DUE)
     new = spark.createDataFrame([("odd",), ("today",)], "canonical_key string")
-    assert [x["value"] for x in r.work_queue(table, today(), new).collect()] == ["today", "odd"]
+    gate = lambda first: spark.createDataFrame([("cisa-kev", first)], "source string, in_baseline boolean")
+    got = r.work_queue(table, today(), new, gate(False)).collect()
+    assert [(x["value"], x["total"]) for x in got] == [("today", 8), ("odd", 8)]
+    for shut in (gate(True), gate(False).limit(0)):
+        assert r.work_queue(table, today(), new, shut).count() == 0
+    assert r.work_queue_total(table).first()["total"] == 8
     head = r.work_queue_head(table, today(), head=2).collect()
     assert [(x["value"], x["total"]) for x in head] == [("today", 8), ("ransom", 8)]
 
@@ -82,7 +87,11 @@ def test_inferred_frequency_without_denominator(spark):
     new = spark.createDataFrame([("k",), ("k2",)], "canonical_key string")
     row = r.inferred_frequency(enriched, new).first()
     assert (row["n_entries"], row["total_entries"], row["percent"]) == (1, 2, 50)
-    assert r.inferred_frequency(enriched, new.limit(0)).count() == 0
+    assert row["reason"] is None
+    alone = lambda df: [(x["technique_id"], x["total_entries"], x["reason"]) for x in df.collect()]
+    assert alone(r.inferred_frequency(enriched, new.limit(0))) == [(None, 0, "no_denominator")]
+    assert alone(r.inferred_frequency(enriched, new.where("canonical_key = 'k2'"))) == [(None, 1, "no_vectors")]
+    assert alone(r.inferred_frequency(enriched, new, m.MODE_BASELINE)) == [(None, None, "baseline_mode")]
 
 
 def test_reasons_by_record_use_their_own_source(spark):
@@ -101,19 +110,24 @@ def test_census_excludes_incorrect_sources(spark):
 def test_recommendations_and_judgements(spark):
     soon = entries(spark, ("v1", "2024-06-16", "Known"), ("v2", "2024-06-15", "x"), ("v3", "2024-06-17", None), ("v4", "2024-06-18", None))
     runs = spark.createDataFrame([("b", m.FAILED), ("a", m.PARTIAL), ("c", m.OK)], "source string, status string")
-    got = {x["action"]: (x["n"], x["detail"]) for x in r.recommendations(soon, runs).collect()}
-    assert got == {"patch": (4, "2024-06-15 v2,2024-06-16 v1,2024-06-17 v3"), "review_collection": (2, "a,b")}
+    got = sorted((x["action"], x["n"], x["detail"]) for x in r.recommendations(soon, runs).collect())
+    assert got == [("patch", 4, "2024-06-15 v2,2024-06-16 v1,2024-06-17 v3"), ("review_collection", 2, "a"), ("review_collection", 2, "b")]
     assert r.recommendations(soon.limit(0), runs.where("status = 'correcta'")).count() == 0
     mapping = spark.createDataFrame([("f", m.FAMILY_NO_ENTRY), ("g", None)], "family_id string, reason string")
     sources = spark.createDataFrame([("a", None), ("b", 0)], "source string, n_fallen long")
-    got = {x["judgement"]: (x["part"], x["total"]) for x in r.judgement_counts(soon, mapping, sources).collect()}
-    assert got == {"due_soon_with_ransomware": (1, 4), "families_without_entry": (1, 2), "sources_with_fallen_suppressed": (1, 2)}
+    feed = lambda status: spark.createDataFrame([("threatfox", status)], "source string, status string")
+    judged = lambda mapping, runs: {x["judgement"]: (x["part"], x["total"]) for x in r.judgement_counts(soon, mapping, sources, runs).collect()}
+    always = {"due_soon_with_ransomware": (1, 4), "sources_with_fallen_suppressed": (1, 2)}
+    assert judged(mapping, feed(m.OK)) == always | {"families_without_entry": (1, 2)}
+    for shut in ((mapping, feed(m.FAILED)), (mapping, feed(m.OK).limit(0)), (None, feed(m.OK))):
+        assert judged(*shut) == always
 
 
 def test_diff_totals_keep_null(spark):
     rows = spark.createDataFrame([("a", 1, 0, 2), ("b", 3, 1, None)], "source string, n_new long, n_reappeared long, n_fallen long")
     row = r.diff_totals(rows).first()
-    assert (row["n_new"], row["n_reappeared"], row["n_fallen"], row["suppressed_sources"]) == (4, 1, 2, "b")
+    assert (row["n_new"], row["n_reappeared"], row["n_fallen"], row["n_sources_with_fallen"]) == (4, 1, 2, 1)
+    assert [x["source"] for x in r.suppressed_sources(rows).collect()] == ["b"]
     assert r.diff_totals(rows.where("source = 'b'")).first()["n_fallen"] is None
 
 

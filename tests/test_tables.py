@@ -28,12 +28,22 @@ def test_state_versions(spark, tmp_path):
     assert store.load().outcome == "illegible"
 
 
-def test_enriched_dump_refuses_broken_rows(spark, tmp_path):
+def test_only_a_missing_folder_is_an_absent_state(spark, tmp_path):
+    store = tables.StateTables(spark, str(tmp_path / "state"))
+    (tmp_path / "state" / "commits").mkdir(parents=True)
+    assert store.load().outcome == "illegible"
+    (tmp_path / "state" / "commits" / "part-0.parquet").write_bytes(b"PAR1 no parquet")
+    assert store.load().outcome == "illegible"
+
+
+def test_enriched_dump_leaves_broken_rows_out(spark, tmp_path):
     good = spark.createDataFrame([("threatfox", None, 1), ("cisa-kev", m.PRODUCT_UNSPECIFIC, 0)], "source string, reason string, n_techniques long")
-    tables.write_enriched(good, str(tmp_path / "ok"))
+    assert tables.write_enriched(good, str(tmp_path / "ok")) == {}
     assert spark.read.parquet(str(tmp_path / "ok")).count() == 2
-    with pytest.raises(ValueError, match="gap_without_reason"):
-        tables.write_enriched(good.withColumn("n_techniques", F.lit(0)), str(tmp_path / "no"))
+    # A full dump holds today's sources only, without the rows that break the invariant.
+    left_out = tables.write_enriched(good.withColumn("n_techniques", F.lit(0)), str(tmp_path / "ok"))
+    assert left_out == {"gap_without_reason": 1}
+    assert [r["source"] for r in spark.read.parquet(str(tmp_path / "ok")).collect()] == ["cisa-kev"]
     with pytest.raises(TypeError):
         tables.write_enriched(good.drop("reason"), str(tmp_path / "no"))
     assert not (tmp_path / "no").exists()
@@ -46,10 +56,12 @@ def test_marts_and_run_history(spark, tmp_path):
         tables.publish_marts(mart(n), root, day)
     assert tables.latest_mart(spark, root, "t").first()["n"] == 3
     assert spark.read.parquet(f"{root}/t").count() == 2
-    runs = lambda run, n: spark.createDataFrame([("a", run, NOW, n)], "source string, run_id string, attempt_time timestamp, records int")
+    runs = lambda run, n, source="a": spark.createDataFrame([(source, run, NOW, n)], "source string, run_id string, attempt_time timestamp, records int")
     for run, n in (("r1", 1), ("r2", 2), ("r2", 5)):
         tables.append_source_runs(runs(run, n), f"{root}/runs")
-    assert sorted((r["run_id"], r["records"]) for r in spark.read.parquet(f"{root}/runs").collect()) == [("r1", 1), ("r2", 5)]
+    tables.append_source_runs(runs("r2", 7, "b"), f"{root}/runs")
+    history = spark.read.parquet(f"{root}/runs").collect()
+    assert sorted((r["source"], r["run_id"], r["records"]) for r in history) == [("a", "r1", 1), ("a", "r2", 5), ("b", "r2", 7)]
 
 
 def drop(spark, start, *keys):
@@ -72,7 +84,7 @@ def test_replayed_micro_batch_changes_nothing(spark, tmp_path):
     engine.apply(drop(spark, days[2], "x", "y", "z"))
     assert statuses(engine) == {"x": m.PRESENT, "y": m.PRESENT, "z": m.PRESENT}
     sizes = {r["run_id"]: (r["n_new"], r["n_reappeared"], r["n_fallen"]) for r in spark.read.parquet(f"{tmp_path}/diff_sources").collect()}
-    assert sizes == {"20240102T000000": (0, 0, 1), "20240103T000000": (1, 1, 0)}
+    assert sizes == {"20240102T000000.000000Z": (0, 0, 1), "20240103T000000.000000Z": (1, 1, 0)}
     assert engine.state.load().baseline_instant == days[0]
 
 
@@ -99,16 +111,47 @@ def test_empty_drop_is_no_run(spark, tmp_path):
     assert engine.state.load().outcome == "absent"
 
 
+def test_a_late_run_and_a_run_in_parts(spark, tmp_path):
+    days = [datetime(2024, 1, n) for n in (1, 2, 3)]
+    soon = datetime(2024, 1, 3, 0, 0, 0, 5)
+    ordered, late = (st.StreamSnapshots(spark, str(tmp_path / name)) for name in ("a", "b"))
+    for number, (start, keys) in enumerate(zip((*days, soon), ("xy", "yz", "xw", "w"))):
+        ordered.apply(drop(spark, start, *keys), number)
+    for number, (start, keys) in enumerate(((days[2], "x"), (soon, "w"), (days[0], "xy"), (days[2], "w"), (days[1], "yz"))):
+        late.apply(drop(spark, start, *keys), number)
+    rows = lambda e: sorted(map(str, e.state.load().indicators.drop("ingested_at").collect()))
+    assert rows(late) == rows(ordered) and late.state.load().run_id == "20240103T000000.000005Z"
+    sets = lambda name: sorted(map(str, spark.read.parquet(f"{tmp_path}/{name}/diff_sources").select("run_id", "n_new", "n_reappeared", "n_fallen").collect()))
+    assert sets("a") == sets("b")
+
+
+def test_census_of_batches_out_of_order(spark, tmp_path):
+    seen = [(1, "f"), (2, "g"), (9, "f"), (20, "h"), (20, "h"), (21, "f"), (3, None)]
+    schema = "seen_at timestamp, family string"
+    table = [(datetime(2024, 1, d), f) for d, f in seen]
+    once, often = (st.SlidingCensus(spark, str(tmp_path / name), "3 days") for name in ("a", "b"))
+    once.apply(spark.createDataFrame(table, schema))
+    for number, i in enumerate((3, 0, 6, 5, 2, 4, 1, 1)):
+        often.apply(spark.createDataFrame(table[i : i + 1], schema), min(number, 6))
+    rows = lambda c: sorted(map(str, c.census().collect()))
+    assert rows(once) == rows(often) and once.batches().first()["n_late"] == 0
+    # What lies more than the delay behind the newest row of an earlier batch is late, and counted.
+    assert sum(r["n_late"] for r in often.batches().collect()) == 4
+    windows = {r["start"].day: (r["n_families"], r["n_observations"], r["closed"]) for r in once.census().where("start >= '2024-01-01'").collect()}
+    assert windows[1] == (3, 3, True) and 11 not in windows
+    assert windows[16] == (1, 2, False) and windows[21] == (1, 1, False)
+
+
 def test_following_keys_across_the_retention(spark, tmp_path):
-    landing, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
-    # "x" misses a day, "y" misses more than the retention, "z" falls and stays away.
-    for day, keys in ((1, "xyz"), (2, "y"), (3, "xw"), (50, "xyw")):
+    landing, checkpoint = (str(tmp_path / name) for name in ("in", "cp"))
+    follower = st.KeySightings(spark, str(tmp_path / "out"), 86_400)
+    # "x" misses a day, "y" misses more than the retention, "z" falls and stays away; a run lands late.
+    for day, keys in ((1, "xyz"), (3, "xw"), (2, "y"), (50, "xyw")):
         start = datetime(2024, 1, 1) + timedelta(days=day - 1)
         rows = drop(spark, start, *keys).select("source", "canonical_key", "run_start")
         rows.write.mode("append").parquet(landing)
-        stream = spark.readStream.schema("source string, canonical_key string, run_start timestamp").parquet(landing)
-        st.run_to_table(st.follow_keys(stream, 86_400), out, checkpoint)
-    got = spark.read.schema(st.REAPPEARANCE_SCHEMA).parquet(out).collect()
+        follower.drain(landing, "source string, canonical_key string, run_start timestamp", checkpoint)
+    got = follower.members().collect()
     days = lambda key: [(r["member"], (r["run_start"] - datetime(2024, 1, 1)).days + 1)
                         for r in sorted(got, key=lambda r: r["run_start"]) if r["canonical_key"] == key]
     assert days("x") == [("new", 1), ("fallen", 2), ("reappeared", 3), ("fallen", 4), ("new", 50)]

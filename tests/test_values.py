@@ -52,6 +52,11 @@ def test_declared_window(spark):
     assert column(spark, rows, values.declared_window_seconds(F.col("x"))) == [432000, None, None, 0, 0]
 
 
+def test_declared_window_too_long_to_hold(spark):
+    expr = values.declared_window_seconds(F.col("x"))
+    assert column(spark, ["P99999999999999999999D/now", "P9223372036854775807D/x"], expr) == [values.LONGEST] * 2
+
+
 def test_times(spark):
     rows = ["2024-01-02 03:04:05 UTC", "2024-1-2 3:4:5", "2024/01/02 03:04:05", "2024-13-01 00:00:00", None]
     got = column(spark, rows, F.date_format(values.parse_datetime(F.col("x")), "yyyy-MM-dd HH:mm:ss"))
