@@ -26,6 +26,7 @@ HEAD = 8  # first bytes of a suffix, by which the sort is cut into ranges
 EVERY = 64  # one anchor in so many tells where to cut
 RANGE = 100_000  # anchors in a range, on average
 RUN = 50_000  # distinct suffixes that a task sorts before it sends them
+PIECE = 1 << 20  # bytes hashed at once
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TOP = np.uint64(2**64 - 1)
 
@@ -69,7 +70,16 @@ def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
-    """(place, hash) in joined texts that begin at ``bounds``. Ties are anchors all."""
+    """(place, hash) in joined texts that begin at ``bounds``. Ties are anchors all.
+
+    One long text is taken in pieces that overlap by a window, so that each window lies in one.
+    """
+    if len(bounds) == 2 and len(data) > 2 * PIECE:
+        starts = range(0, len(data), PIECE)
+        parts = [data[s : s + PIECE + length] for s in starts]
+        found = [anchors(p, np.array([0, len(p)]), length, seed) for p in parts]
+        place, first = np.unique(np.concatenate([p + s for s, (p, _) in zip(starts, found)]), return_index=True)
+        return place, np.concatenate([h for _, h in found])[first]
     w = length - seed + 1
     if len(data) < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -93,7 +103,7 @@ def anchor_table(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for start, stop in slices(batch.column("text")):
+            for start, stop in slices(batch.column("text"), PIECE):
                 part = batch.slice(start, stop - start)
                 texts = pa.concat_arrays([part.column("text").cast(pa.large_binary())])
                 _, offsets, raw = texts.buffers()
