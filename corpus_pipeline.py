@@ -31,7 +31,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of what they decode to, a row for each document of the mix."""
-    return bpe.digests(bpe.encoded(docs))
+    return bpe.digests(docs)
 
 
 STAGES = [

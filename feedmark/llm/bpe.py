@@ -6,7 +6,6 @@ import hashlib
 import unicodedata
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -118,38 +117,52 @@ def tree(enc, parts: list[np.ndarray], window: int = WINDOW) -> np.ndarray:
     return parts[0] if parts else np.empty(0, np.uint32)
 
 
-def encoded(docs: DataFrame, path: str | None = None, leaf: int = LEAF) -> DataFrame:
-    """row_id, doc_id, ids (little-endian unsigned 32-bit): one row per row of ``docs``.
+def _as_bytes(enc, rows: list[np.ndarray]) -> list[pa.Array]:
+    return [pa.array([ids.astype("<u4").tobytes() for ids in rows], pa.binary())]
 
-    Texts up to ``leaf`` code points are encoded where they lie. Longer ones are cut blindly into
-    leaves, the leaves are encoded in parallel on any executor, and the leaves of one document are
-    joined as a tree; only long texts move. A long text that holds an added token's string is
-    encoded in one piece. A null text is an empty text with no ids, null and repeated doc_ids pass
-    through row by row, other columns are ignored, and an empty table gives no rows.
-    """
+
+def _as_digests(enc, rows: list[np.ndarray]) -> list[pa.Array]:
+    """Of each row's ids, and of what they decode to."""
+    said = (",".join(map(str, ids.tolist())).encode() for ids in rows)
+    return [
+        pa.array([len(ids) for ids in rows], pa.int64()),
+        pa.array([hashlib.sha256(x).hexdigest() for x in said], pa.string()),
+        pa.array([hashlib.sha256(enc.decode(ids).encode()).hexdigest() for ids in rows], pa.string()),
+    ]
+
+
+IDS = ("ids binary", _as_bytes)
+DIGESTS = ("n_tokens bigint, ids_sha256 string, decoded_sha256 string", _as_digests)
+
+
+def _coded(docs: DataFrame, path: str | None, leaf: int, told) -> DataFrame:
+    """row_id, doc_id and the columns ``told`` makes of the ids, in the worker that has them."""
     path = path or default_path()
+    columns, make = told
+    names = ["row_id", "doc_id", *(c.split()[0] for c in columns.split(", "))]
     rows = numbered(docs.select("doc_id", whole_text().alias("text")))
     special = F.lit(False)
     for content in encoder(path).special:
         special = special | F.contains("text", F.lit(content))
     rows = rows.withColumn("long", (F.length("text") > leaf) & ~special)
-    schema = "row_id bigint, doc_id bigint, ids binary"
-    short = rows.where("not long").select("row_id", "doc_id", "text").mapInArrow(_encode_rows(path), schema)
+    schema = f"row_id bigint, doc_id bigint, {columns}"
+    short = rows.where("not long").select("row_id", "doc_id", "text").mapInArrow(_encode_rows(path, make, names), schema)
     parts = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{leaf}}}"), F.lit(0))
     leaves = rows.where("long").select("row_id", "doc_id", F.posexplode(parts).alias("leaf", "text"))
-    leaves = leaves.repartition("row_id", "leaf")
-    coded = leaves.mapInArrow(_encode_rows(path), "row_id bigint, doc_id bigint, leaf int, ids binary")
+    as_ids = _encode_rows(path, _as_bytes, ["row_id", "doc_id", "leaf", "ids"])
+    coded = leaves.repartition("row_id", "leaf").mapInArrow(as_ids, "row_id bigint, doc_id bigint, leaf int, ids binary")
 
     def joined(group):
-        group = group.sort_values("leaf")
-        ids = tree(encoder(path), [np.frombuffer(x, dtype="<u4") for x in group.ids])
-        return pd.DataFrame({"row_id": group.row_id[:1], "doc_id": group.doc_id[:1].astype("Int64"), "ids": [ids.astype("<u4").tobytes()]})
+        group, enc = group.sort_values("leaf"), encoder(path)
+        ids = tree(enc, [np.frombuffer(x, dtype="<u4") for x in group.ids])
+        made = pa.table([pa.array(group.row_id[:1]), pa.array(group.doc_id[:1].astype("Int64")), *make(enc, [ids])], names=names)
+        return made.to_pandas()
 
     return short.unionByName(coded.groupBy("row_id").applyInPandas(joined, schema))
 
 
-def _encode_rows(path: str):
-    """Replaces the last column, text, by ids."""
+def _encode_rows(path: str, make, names: list[str]):
+    """Replaces the last column, text, by what is made of its ids."""
 
     def run(batches):
         enc = encoder(path)
@@ -157,13 +170,30 @@ def _encode_rows(path: str):
             texts = batch.column("text")
             for start, stop in slices(texts):
                 ids, bounds = enc.encode(texts.slice(start, stop - start))
-                raw = pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary())
+                made = make(enc, [ids[a:b] for a, b in zip(bounds, bounds[1:])])
                 rest = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*rest.columns[:-1], raw], names=[*rest.schema.names[:-1], "ids"])
+                yield pa.RecordBatch.from_arrays([*rest.columns[:-1], *made], names=names)
 
     return run
 
 
+def encoded(docs: DataFrame, path: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """row_id, doc_id, ids (little-endian unsigned 32-bit): one row per row of ``docs``.
+
+    Texts up to ``leaf`` code points are encoded where they lie. Longer ones are cut blindly into
+    leaves, the leaves are encoded in parallel on any executor, and the leaves of one document are
+    joined as a tree; only long texts move. A long text that holds an added token's string is
+    encoded in one piece. A null text is an empty text with no ids, null and repeated doc_ids pass
+    through row by row, other columns are ignored, and an empty table gives no rows.
+    """
+    return _coded(docs, path, leaf, IDS)
+
+
+def digests(docs: DataFrame, path: str | None = None, leaf: int = LEAF) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: encoded as by ``encoded``, and decoded again."""
+    return _coded(docs, path, leaf, DIGESTS).drop("row_id")
+
+
 def decoded(coded: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of ``encoded`` with text in place of ids; bytes that are no UTF-8 become U+FFFD."""
     path = path or default_path()
@@ -179,27 +209,5 @@ def decoded(coded: DataFrame, path: str | None = None) -> DataFrame:
     return coded.select("row_id", "doc_id", "ids").mapInArrow(run, "row_id bigint, doc_id bigint, text string")
 
 
-def digests(coded: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the rows of ``encoded``; ids are decoded on the way."""
-    path = path or default_path()
-
-    def run(batches):
-        enc = encoder(path)
-        decimal = [str(i) for i in range(len(enc.table))]
-        for batch in batches:
-            out: list[list] = [[], [], []]
-            for raw in batch.column("ids"):
-                ids = np.frombuffer(raw.as_buffer(), dtype="<u4")
-                said = ",".join(map(decimal.__getitem__, ids.tolist()))
-                out[0].append(len(ids))
-                out[1].append(hashlib.sha256(said.encode()).hexdigest())
-                out[2].append(hashlib.sha256(enc.decode(ids).encode()).hexdigest())
-            arrays = [batch.column("doc_id"), pa.array(out[0], pa.int64()), *(pa.array(x, pa.string()) for x in out[1:])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return coded.select("doc_id", "ids").mapInArrow(run, schema)
-
-
 def query(spark, sf_dir):
-    return digests(encoded(table(spark, sf_dir, "documents")))
+    return digests(table(spark, sf_dir, "documents"))
