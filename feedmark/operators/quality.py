@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmark import model as m
 from feedmark.functions import records, values
+from feedmark.session import stage
 
 RUN = ("source", "run_id")
 
@@ -21,13 +22,17 @@ ENVELOPE_OK, ENVELOPE_BROKEN, ENVELOPE_UNVERIFIED = "ok", "broken", "not_verifie
 
 def batch_counts(normalized: DataFrame) -> DataFrame:
     """Valid, invalid and unsupported records of each run."""
+    return normalized.groupBy(*RUN).agg(*_verdict_counts())
+
+
+def _verdict_counts() -> list[Column]:
     verdict = F.col("verdict")
-    return normalized.groupBy(*RUN).agg(
+    return [
         F.count("*").alias("total"),
         F.count_if(verdict == "valid").alias("records"),
         F.count_if(verdict == "invalid").alias("invalid"),
         F.count_if(verdict == "unsupported").alias("unsupported"),
-    )
+    ]
 
 
 def status_of_counts(n_valid: Column, n_invalid: Column) -> Column:
@@ -110,12 +115,36 @@ def coverage_table(counts: DataFrame, thresholds: dict[str, float]) -> DataFrame
 
 def field_coverage(batch: DataFrame, spec: m.FeedSpec) -> DataFrame:
     """Coverage of a feed's expected fields over raw records."""
-    record = F.col("record")
+    present, is_object = _given_fields(F.col("record"), spec)
+    counts = coverage_counts(batch, spec.expected_fields, present, is_object)
+    return coverage_table(counts, _thresholds(spec))
+
+
+def _given_fields(record: Column, spec: m.FeedSpec) -> tuple[dict[str, Column], Column]:
     present = {name: records.has_value(record, name) for name in spec.expected_fields}
     has_first = records.has_key(record, spec.expected_fields[0])
-    is_object = F.when(has_first, F.lit(True)).otherwise(records.is_object(record))
-    counts = coverage_counts(batch, spec.expected_fields, present, is_object)
-    return coverage_table(counts, {name: spec.threshold(name) for name in spec.expected_fields})
+    return present, F.when(has_first, F.lit(True)).otherwise(records.is_object(record))
+
+
+def _thresholds(spec: m.FeedSpec) -> dict[str, float]:
+    return {name: spec.threshold(name) for name in spec.expected_fields}
+
+
+def run_measures(normalized: DataFrame, spec: m.FeedSpec) -> tuple[DataFrame, DataFrame]:
+    """What :func:`batch_counts` and :func:`field_coverage` say of a feed, from one pass over it.
+
+    The records are parsed once, verdicts and given fields are counted in the same aggregate; the
+    few rows it gives are written, as both results read them.
+    """
+    present, is_object = _given_fields(F.col("raw"), spec)
+    counted = normalized.groupBy(*RUN).agg(
+        *_verdict_counts(),
+        F.count("*").alias("n_records"),
+        F.count_if(is_object).alias("n_objects"),
+        *(F.count_if(present[name]).alias(name) for name in spec.expected_fields),
+    )
+    counted = stage(counted, "run-measures")
+    return counted.select(*RUN, "total", "records", "invalid", "unsupported"), coverage_table(counted, _thresholds(spec))
 
 
 def shortfalls(coverage: DataFrame) -> DataFrame:

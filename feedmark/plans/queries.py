@@ -222,15 +222,13 @@ def _run_facts(counts: DataFrame, window: str | None) -> DataFrame:
 
 
 def _ioc_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = w.ioc_batch(spark, sf_dir)
-    counts = q.batch_counts(n.normalize_ioc_feed(batch))
-    return q.source_runs(counts, q.field_coverage(batch, m.IOC_FEED), _run_facts(counts, "P5D/now"))
+    counts, coverage = q.run_measures(n.normalize_ioc_feed(w.ioc_batch(spark, sf_dir)), m.IOC_FEED)
+    return q.source_runs(counts, coverage, _run_facts(counts, "P5D/now"))
 
 
 def _vuln_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch = w.vuln_batch(spark, sf_dir)
-    counts = q.batch_counts(n.normalize_vuln_feed(batch))
-    return q.source_runs(counts, q.field_coverage(batch, m.VULN_FEED), _run_facts(counts, None))
+    counts, coverage = q.run_measures(n.normalize_vuln_feed(w.vuln_batch(spark, sf_dir)), m.VULN_FEED)
+    return q.source_runs(counts, coverage, _run_facts(counts, None))
 
 
 @query
@@ -324,10 +322,17 @@ def split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _measures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Verdict counts and field coverage of both feeds' runs."""
+    ioc = q.run_measures(n.normalize_ioc_feed(w.ioc_batch(spark, sf_dir)), m.IOC_FEED)
+    vuln = q.run_measures(n.normalize_vuln_feed(w.vuln_batch(spark, sf_dir)), m.VULN_FEED)
+    return tuple(a.unionByName(b) for a, b in zip(ioc, vuln))
+
+
 @query
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = q.batch_counts(_verdicts(spark, sf_dir))
-    status = q.batch_status(counts, q.shortfalls(_coverage(spark, sf_dir)))
+    counts, coverage = _measures(spark, sf_dir)
+    status = q.batch_status(counts, q.shortfalls(coverage))
     return status.select(
         "source", "run_id", "total", "records", "invalid", "unsupported", "n_short", "status"
     )
@@ -477,6 +482,13 @@ def _mapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return mapping, techniques
 
 
+def landings():
+    """(name, function that writes it) of the published tables of the resolution and the rules."""
+    yield "resolved", lambda spark, sf_dir: w.landed(spark, sf_dir, "resolved", _resolved)
+    yield "family-techniques", _mapped  # and family-mapping
+    yield "rules", _rules
+
+
 @query
 def family_techniques(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fam.family_techniques(stage(_resolved(spark, sf_dir), "resolved"), _edges(spark, sf_dir))
@@ -663,8 +675,8 @@ def diff_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_status_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coverage = _coverage(spark, sf_dir)
-    status = q.batch_status(q.batch_counts(_verdicts(spark, sf_dir)), q.shortfalls(coverage))
+    counts, coverage = _measures(spark, sf_dir)
+    status = q.batch_status(counts, q.shortfalls(coverage))
     evaluated = coverage.groupBy("source", "run_id").agg(F.bool_or("evaluated").alias("evaluated"))
     return r.source_status_table(status.join(evaluated, ["source", "run_id"]), coverage)
 

@@ -35,6 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LANDED_RECORDS = 50_000  # in a file
+
 _LANDED: dict[tuple[str, str, str], str] = {}
 
 
@@ -45,7 +47,8 @@ def landed(
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = new_folder(spark, name)
-        build(spark, sf_dir).write.parquet(path)
+        # A feed lands in many files; the supplied tables are one file of one row group each.
+        build(spark, sf_dir).write.option("maxRecordsPerFile", LANDED_RECORDS).parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
@@ -342,15 +345,15 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def land_all(spark: SparkSession, sf_dir: str) -> None:
-    """Write the feed tables and the normalised observations that later jobs scan."""
+def landings():
+    """(name, function that writes it) of the feed tables and normalised observations that later jobs scan."""
     for name, build in (
         ("ioc-lines", ioc_lines),
         ("vuln-lines", vuln_lines),
         ("ioc-normalized", _normalized_ioc),
         ("vuln-normalized", _normalized_vuln),
     ):
-        landed(spark, sf_dir, name, build)
+        yield name, lambda spark, sf_dir, name=name, build=build: landed(spark, sf_dir, name, build)
 
 
 def entries(observed: DataFrame) -> DataFrame:
