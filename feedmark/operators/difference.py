@@ -84,18 +84,14 @@ def dedupe_observed(observed: DataFrame) -> DataFrame:
 
 
 def compare(observed: DataFrame, state: DataFrame) -> DataFrame:
-    """Today's observation and the prior state of every (source, key), in one shuffle.
+    """Today's observation and the prior state of every (source, key).
 
-    ``now`` and ``before`` are NULL where a key is on one side only. Both sides go through the
-    same aggregate, which also collapses repeated observations map-side.
+    ``now`` and ``before`` are NULL where a key is on one side only. Only today's rows are
+    aggregated; the state has one row for each key already and goes into the join as it is.
     """
-    today = observed.select(*KEY, _preference().alias("now"))
+    today = observed.groupBy(*KEY).agg(F.min(_preference()).alias("now"))
     prior = state.select(*KEY, F.struct("status", "fallen_since", *_ATTRIBUTES).alias("before"))
-    return (
-        today.unionByName(prior, allowMissingColumns=True)
-        .groupBy(*KEY)
-        .agg(F.min("now").alias("now"), F.max("before").alias("before"))
-    )
+    return today.join(prior, list(KEY), "full_outer")
 
 
 def source_interval(runs: DataFrame, watermarks: DataFrame) -> DataFrame:

@@ -164,6 +164,12 @@ def test_dedupe_does_not_depend_on_order(spark):
         assert (best["family"], best["last_seen"]) == ("f1", before(1))
 
 
+def test_state_rows_are_not_aggregated(spark):
+    state = held(spark, ("a", "x", m.PRESENT, None))
+    plan = d.compare(seen(spark, ("a", "x")), state)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "Join FullOuter" in plan
+
+
 def test_merge_sources(spark):
     state = held(spark, ("b", "k", m.FALLEN, NOW, None), ("a", "k", m.PRESENT, None, "fam"))
     row = d.merge_state_sources(state).first()
