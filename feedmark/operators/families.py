@@ -17,6 +17,9 @@ from feedmark.functions.names import canon, malpedia_name, split_aliases
 from feedmark.functions.values import strip
 
 
+TECHNIQUES = "array<struct<technique_id:string,technique_name:string>>"
+
+
 def family_names(observations: DataFrame) -> DataFrame:
     """Distinct ``(family_id, name)`` over all observations; ``name`` NULL where there is none.
 
@@ -191,12 +194,15 @@ def family_techniques(resolved: DataFrame, edges: DataFrame) -> DataFrame:
 def family_mapping(resolved: DataFrame, techniques: DataFrame) -> DataFrame:
     """One row per family: techniques found, or the reason there are none.
 
-    ``technique_ids`` holds distinct four-digit identifiers, so it is bounded by their number.
+    ``technique_ids`` holds distinct four-digit identifiers, so it is bounded by their number;
+    ``techniques`` has them with their names. The rationale is the name that matched and who asserts it.
     """
     found = techniques.groupBy("family_id").agg(
         F.sum("n_edges").alias("n_techniques"),
         F.array_sort(F.collect_set("technique_id")).alias("technique_ids"),
+        F.array_sort(F.collect_set(F.struct("technique_id", "technique_name"))).alias("techniques"),
         F.min("mapping_confidence").alias("mapping_confidence"),
+        F.min(F.concat_ws(": ", "authority", "matched_name")).alias("rationale"),
     )
     reason = F.when(
         F.col("reason").isNull() & F.col("n_techniques").isNull(), F.lit(m.FAMILY_NO_TECHNIQUES)
@@ -207,7 +213,9 @@ def family_mapping(resolved: DataFrame, techniques: DataFrame) -> DataFrame:
         "software_id",
         F.coalesce("n_techniques", F.lit(0)).cast("bigint").alias("n_techniques"),
         F.coalesce("technique_ids", F.array().cast("array<string>")).alias("technique_ids"),
+        F.coalesce("techniques", F.array().cast(TECHNIQUES)).alias("techniques"),
         "mapping_confidence",
+        "rationale",
     )
 
 

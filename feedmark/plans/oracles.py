@@ -214,10 +214,12 @@ mapping AS (
   SELECT r.family_id,
     CASE WHEN r.reason IS NULL AND t.family_id IS NULL THEN 'familia_sin_tecnicas' ELSE r.reason END AS reason,
     r.software_id, CAST(coalesce(t.n, 0) AS BIGINT) AS n_techniques, coalesce(t.ids, '') AS technique_ids,
-    t.conf AS mapping_confidence
+    t.conf AS mapping_confidence, coalesce(t.techniques, '') AS techniques, t.rationale
   FROM resolution r LEFT JOIN (
     SELECT family_id, sum(n_edges) AS n, string_agg(DISTINCT technique_id, ',' ORDER BY technique_id) AS ids,
-      min(mapping_confidence) AS conf
+      min(mapping_confidence) AS conf,
+      string_agg(DISTINCT technique_id || '=' || technique_name, ',' ORDER BY technique_id || '=' || technique_name) AS techniques,
+      min(authority || ': ' || matched_name) AS rationale
     FROM technique GROUP BY family_id) t USING (family_id)
 )
 """
@@ -254,7 +256,7 @@ vuln_enriched AS (
   SELECT v.*,
     CASE WHEN r.vendor_no IS NULL THEN 'producto_sin_clasificar'
          WHEN r.unspecific THEN 'producto_inespecifico' END AS reason,
-    CASE WHEN NOT r.unspecific THEN r.technique END AS technique_id
+    CASE WHEN NOT r.unspecific THEN r.technique END AS technique_id, r.rationale
   FROM vuln v LEFT JOIN rule r ON r.vendor_no = v.vendor_no AND r.product_no = v.product_no
 )
 """
@@ -265,14 +267,15 @@ enriched AS (
     CASE WHEN i.family_id IS NULL THEN 'sin_atribucion' ELSE f.reason END AS reason,
     coalesce(f.technique_ids, '') AS technique_ids, coalesce(f.n_techniques, 0) AS n_techniques,
     CASE WHEN f.n_techniques > 0 THEN 'derived' END AS mapping_method, f.mapping_confidence,
-    md5(i.family_label || i.threat_type) AS raw
+    md5(i.family_label || i.threat_type) AS raw, coalesce(f.techniques, '') AS techniques, f.rationale
   FROM ioc_ok i LEFT JOIN mapping f USING (family_id)
   UNION ALL
   SELECT sha256('vulnerability' || value || 'cisa-kev'), source, type, value, confidence, NULL, reason,
     coalesce(technique_id, ''), CASE WHEN technique_id IS NULL THEN 0 ELSE 1 END,
     CASE WHEN technique_id IS NOT NULL THEN 'inferred' END, CASE WHEN technique_id IS NOT NULL THEN 'low' END,
-    md5(value || vendor || 'Flaw ' || cust)
-  FROM vuln_enriched
+    md5(value || vendor || 'Flaw ' || cust), coalesce(technique_id || '=' || n.technique_name, ''),
+    CASE WHEN technique_id IS NOT NULL THEN rationale END
+  FROM vuln_enriched LEFT JOIN technique_names n ON n.technique = technique_id
 )
 """
 
@@ -757,7 +760,8 @@ SELECT DISTINCT v.vendor, v.product,
 FROM vuln v LEFT JOIN rule r ON r.vendor_no = v.vendor_no AND r.product_no = v.product_no
 LEFT JOIN technique_names t ON t.technique = r.technique"""
     out["enrich_observations"] = _with(*ALL_ENRICHED) + """
-SELECT id, source, reason, technique_ids, CAST(n_techniques AS BIGINT) AS n_techniques, mapping_method, mapping_confidence
+SELECT id, source, reason, technique_ids, CAST(n_techniques AS BIGINT) AS n_techniques, mapping_method, mapping_confidence,
+  techniques, rationale
 FROM enriched"""
     out["enrich_unavailable"] = _with(IOC, VULN) + """
 SELECT source, 'etapa_no_disponible' AS reason, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_techniques

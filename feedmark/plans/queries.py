@@ -504,10 +504,17 @@ def family_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         "software_id",
         "n_techniques",
         F.array_join("technique_ids", ",").alias("technique_ids"),
+        _named_techniques(),
         "mapping_confidence",
+        "rationale",
     )
 
 
+def _named_techniques() -> Column:
+    named = F.transform("techniques", lambda t: F.concat_ws("=", t["technique_id"], t["technique_name"]))
+    return F.array_join(named, ",").alias("techniques")
+
+
 def _rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published rule dimension."""
     return w.landed(
@@ -542,8 +549,10 @@ def enrich_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "reason",
         F.array_join("technique_ids", ",").alias("technique_ids"),
         "n_techniques",
+        _named_techniques(),
         "mapping_method",
         "mapping_confidence",
+        "rationale",
     )
 
 
