@@ -17,6 +17,7 @@ BLOCK = 128  # words in a block
 SHARD = 4096  # blocks in an output shard
 BUCKET = 4096  # documents whose words are packed together
 LEAST_CELLS = 1024
+TASK = 65_536  # output blocks that one task writes out
 ROUNDS = 8
 
 
@@ -164,7 +165,9 @@ def mix(
     slots = F.when(n > 0, F.least(F.floor(n * most), F.round(F.col("target") * n / F.col("source_size")))).otherwise(0)
     sources = stage(wanted.withColumn("blocks", n).withColumn("slots", slots.cast("bigint")), "sources")
     counts = draws(sources, seed, shard)
-    each = counts.where("slots > 0").select("shard", "src", F.explode(F.expr("sequence(from_slot, from_slot + slots - 1)")).alias("slot"))
+    # a few rows become many: dealt out by the work they will make, not by their own bytes
+    tasks = max(1, math.ceil((sources.agg(F.sum("slots")).first()[0] or 0) / TASK))
+    each = counts.repartition(tasks, "src", "shard").select("shard", "src", F.explode(F.expr("sequence(from_slot, from_slot + slots - 1)")).alias("slot"))
     each = each.join(sources.select("src", "blocks"), "src")
     turn = F.expr("slot div blocks").alias("pass")
     key = F.xxhash64(F.lit(seed), "src", "pass")
