@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from feedmark.llm.common import table, whole_text
 from feedmark.llm.tokens import slices, spread
 
-BUCKETS = 1 << 22  # of the term hash
+BUCKETS = 1 << 30  # of the term hash: so many that rare words do not fall on telling ones
 TERMS = 4096  # that the machine may use
 SAMPLE = 20_000  # labelled documents it learns from at most
 FACTORS = 8
 STEM = 5  # letters; inflected words also count by their beginning
 LEAST = 3  # sampled documents that hold a term, or it is not used
-STRENGTH = 2.5  # standard deviations between a term's toxic documents and chance, at least
+STRENGTH = 2.0  # standard deviations between a term's toxic documents and chance, at least
 FOLDS = 5
+SLICE = 4 << 20  # bytes of text looked at together
 _WORDS = re.compile(r"\w+")
 
 
@@ -87,16 +88,18 @@ def fit(labels: np.ndarray, rows: np.ndarray, buckets: np.ndarray, epochs: int =
     machine = Machine(none, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
     if not 0 < positive < n:
         return machine
-    names, place = np.unique(buckets, return_inverse=True)
-    held = np.bincount(place)
-    toxic = np.bincount(place, labels[rows])
+    names, held = np.unique(buckets, return_counts=True)
+    names, held = names[held >= LEAST], held[held >= LEAST]
+    found, counts = np.unique(buckets[labels[rows] == 1], return_counts=True)
+    toxic = np.zeros(len(names))
+    _, at, of = np.intersect1d(names, found, assume_unique=True, return_indices=True)
+    toxic[at] = counts[of]
     expected = held * share
     strength = np.abs(toxic - expected) / np.sqrt(expected * (1 - share) + 1)
-    strength[held < LEAST] = 0
-    chosen = np.sort(np.lexsort((names, -strength))[:TERMS])
-    chosen = chosen[strength[chosen] >= STRENGTH]
+    strong = np.flatnonzero(strength >= STRENGTH)
+    chosen = names[np.sort(strong[np.lexsort((strong, -strength[strong]))[:TERMS]])]
     rng = np.random.default_rng(seed)
-    machine.buckets, machine.weights = names[chosen], np.zeros(len(chosen))
+    machine.buckets, machine.weights = chosen, np.zeros(len(chosen))
     machine.factors = rng.normal(0, 0.01, (len(chosen), FACTORS))
     rows, terms = machine.known(rows, buckets)
     starts = np.searchsorted(rows, np.arange(n + 1))
@@ -141,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
 
     def run(batches):
         for batch in batches:
-            for start, stop in slices(batch.column("text")):
+            for start, stop in slices(batch.column("text"), SLICE):
                 part = batch.slice(start, stop - start)
                 rows, buckets = term_sets(part.column("text"))
                 at = np.searchsorted(rows, np.arange(part.num_rows + 1))
@@ -151,24 +154,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     schema = "doc_id bigint, label int, terms binary"
     found = rows.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(run, schema).toPandas()
     found = found.sort_values(["doc_id", "terms"], kind="stable")
-    sets = [np.frombuffer(x, dtype="<i4").astype(np.int64) for x in found.terms]
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype(np.int64)
-    return fit((found.label.to_numpy() > 0).astype(float), owner, np.concatenate(sets) if sets else np.empty(0, np.int64))
+    owner = np.repeat(np.arange(len(found)), (found.terms.str.len() // 4).to_numpy(dtype=np.int64)).astype(np.int32)
+    buckets = np.frombuffer(b"".join(found.terms), dtype="<i4")
+    return fit((found.label.to_numpy() > 0).astype(float), owner, buckets)
 
 
-def scored(docs: DataFrame, machine: Machine, columns: list[str]) -> DataFrame:
-    """``columns`` of each row and its score; the whole text counts."""
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", `_score` double"
+def score(machine: Machine) -> Column:
+    """The score of the whole text of a row; only texts go to the workers, and numbers come back."""
 
-    def run(batches):
-        for batch in batches:
-            for start, stop in slices(batch.column(batch.num_columns - 1)):
-                part = batch.slice(start, stop - start)
-                score = pa.array(machine.score(part.column(part.num_columns - 1)), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], score], names=[*columns, "_score"])
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [machine.score(texts.slice(start, stop - start)) for start, stop in slices(texts, SLICE)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
-    return docs.select(*columns, whole_text().alias("_whole")).mapInArrow(run, schema)
+    return run(whole_text())
 
 
 def predictions(docs: DataFrame, machine: Machine) -> DataFrame:
@@ -177,14 +176,13 @@ def predictions(docs: DataFrame, machine: Machine) -> DataFrame:
     A null text counts as empty; an empty one gets the score of a document without known terms. A
     null doc_id is not held out. Without labels of both kinds every score is the share of the toxic.
     """
-    out = scored(docs, machine, ["doc_id"])
-    return out.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    out = docs.select("doc_id", held_out().alias("held_out"), score(machine).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
     """``docs``, all columns, without the documents predicted toxic."""
-    row = docs.select(F.struct("*").alias("row"), "text")
-    return scored(row, machine, ["row"]).where("_score < 0.5").select("row.*")
+    return docs.where(score(machine) < 0.5)
 
 
 def query(spark, sf_dir):
