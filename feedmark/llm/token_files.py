@@ -48,7 +48,8 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     out[at + 4], out[at + 5] = width, odds
     for w in np.unique(width[width > 0]):
         some = np.flatnonzero(width == w)
-        flags = np.unpackbits(over[some].astype("<u4").view(np.uint8).reshape(len(some), BLOCK, 4), axis=2, bitorder="little")
+        kind, size = _word(w)  # what an exception loses here is stored with it
+        flags = np.unpackbits(over[some].astype(kind).view(np.uint8).reshape(len(some), BLOCK, size), axis=2, bitorder="little")
         made = np.packbits(flags[:, :, :w].reshape(len(some), -1), axis=1, bitorder="little")
         out[at[some][:, None] + 6 + np.arange(made.shape[1])] = made
     row, column = np.nonzero(odd)
@@ -60,6 +61,10 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:
     return starts.astype("<u4").tobytes() + out.tobytes()
 
 
+def _word(width: int) -> tuple[str, int]:
+    return ("<u2", 2) if width <= 16 else ("<u4", 4)
+
+
 def unpack(raw: bytes, n: int, first: int = 0, last: int | None = None) -> np.ndarray:
     """Ids ``first`` to ``last`` of n; only the blocks that hold them are read, by way of the index."""
     last = n if last is None else min(last, n)
@@ -75,9 +80,10 @@ def unpack(raw: bytes, n: int, first: int = 0, last: int | None = None) -> np.nd
     for w in np.unique(width[width > 0]):
         some = np.flatnonzero(width == w)
         flags = np.unpackbits(data[starts[some][:, None] + 6 + np.arange(BLOCK // 8 * w)], axis=1, bitorder="little")
-        wide = np.zeros((len(some), BLOCK, 32), dtype=np.uint8)
+        kind, size = _word(w)
+        wide = np.zeros((len(some), BLOCK, 8 * size), dtype=np.uint8)
         wide[:, :, :w] = flags.reshape(len(some), BLOCK, w)
-        over[some] = np.packbits(wide, axis=2, bitorder="little").view("<u4")[:, :, 0]
+        over[some] = np.packbits(wide, axis=2, bitorder="little").view(kind)[:, :, 0]
     row = np.repeat(np.arange(high - low), odds)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(odds) - odds, odds)
     body = starts[row] + 6 + BLOCK // 8 * width[row]

@@ -10,8 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 8 << 20
-KNOWN = 600_000  # pieces a worker remembers between batches, about 130 MB
+BATCH_BYTES = 4 << 20
+KNOWN = 400_000  # pieces a worker remembers between batches, about 90 MB
 LONGEST_KNOWN = 48
 
 
