@@ -88,12 +88,20 @@ def check_declared(declared: DataFrame) -> DataFrame:
 def retired_by_identity(declared: DataFrame, observed: DataFrame) -> DataFrame:
     """Every declared retired object against the catalogue: still there, by the same marker?
 
-    Further retired objects are normal evolution and are not looked at.
+    Further retired objects are normal evolution and are not looked at. A declared list that cannot
+    be checked gives one row that says so, without an id, instead of verdicts.
     """
+    check = check_declared(declared)
+    checkable = check.select("checkable").scalar()
+    nothing = F.lit(None).cast("string")
+    refused = check.where("not checkable").select(
+        nothing.alias("id"), nothing.alias("marker"), nothing.alias("marker_now"), F.lit("not_checkable").alias("verdict")
+    )
     now = observed.select("id", F.col("marker").alias("marker_now"))
     verdict = (
         F.when(F.col("marker_now").isNull(), F.lit("absent"))
         .when(F.col("marker_now") != F.col("marker"), F.lit("marker_changed"))
         .otherwise(F.lit("kept"))
     )
-    return declared.join(now, "id", "left").select("id", "marker", "marker_now", verdict.alias("verdict"))
+    found = declared.where(checkable).join(now, "id", "left")
+    return found.select("id", "marker", "marker_now", verdict.alias("verdict")).unionByName(refused)

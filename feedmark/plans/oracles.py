@@ -713,7 +713,9 @@ FROM profile_2 n JOIN profile_1 b USING (magnitude)"""
     out["retired_by_identity"] = _with(_software(), _software(1, "older")) + """
 SELECT d.id, d.marker, n.marker AS marker_now,
   CASE WHEN n.marker IS NULL THEN 'absent' WHEN n.marker <> d.marker THEN 'marker_changed' ELSE 'kept' END AS verdict
-FROM older_all d JOIN software_all n USING (id) WHERE d.marker IS NOT NULL"""
+FROM older_all d JOIN software_all n USING (id)
+WHERE d.marker IS NOT NULL AND (SELECT count(DISTINCT marker) FROM older_all) = 2
+UNION ALL SELECT NULL, NULL, NULL, 'not_checkable' WHERE (SELECT count(DISTINCT marker) FROM older_all) <> 2"""
     out["enrichment_invariant"] = _with(*ALL_ENRICHED) + """
 , picked AS (
   SELECT *, CAST('0x' || md5(value)[1:2] AS INTEGER) AS pick FROM enriched

@@ -115,6 +115,8 @@ def test_catalog_profile_drift_and_retired(spark):
     found = cc.retired_by_identity(declared, catalog.retired(objects(spark))).orderBy("id").collect()
     assert [x["verdict"] for x in found] == ["absent", "marker_changed", "kept"]
     assert cc.check_declared(declared).first()["checkable"]
+    for bad in (declared.limit(0), declared.where("marker <> 'revoked'")):
+        assert [tuple(x) for x in cc.retired_by_identity(bad, catalog.retired(objects(spark))).collect()] == [(None, None, None, "not_checkable")]
     assert not cc.check_declared(declared.where("marker <> 'revoked'")).first()["checkable"]
     assert not cc.check_declared(declared.limit(0)).first()["checkable"]
 
