@@ -67,39 +67,41 @@ def _landed(df: DataFrame, name: str) -> str:
     return path
 
 
+def _scanned(spark: SparkSession, path: str, spec: m.FeedSpec, of_records: Column) -> DataFrame:
+    """Documents by fault and, as ``records``, their records, per run; each document is parsed once."""
+    opened = documents.open_envelopes(documents.read_document_lines(spark, path), spec)
+    what = F.coalesce("fault", F.lit("sound")).alias("what")
+    rows = opened.select("run_id", what, "n_records", F.posexplode_outer("records").alias("pos", "record"))
+    first = F.coalesce("pos", F.lit(0)) == 0
+    counted = rows.groupBy("run_id", "what").agg(
+        F.count_if(first).alias("n_documents"),
+        F.sum(F.when(first, F.col("n_records"))).alias("n_records"),
+        F.count("record").alias("exploded"),
+        of_records.alias("told"),
+    )
+    counted = stage(counted, "document-counts")
+    exploded = counted.where("exploded > 0").select(
+        "run_id", F.lit("records").alias("what"), F.col("exploded").alias("n_documents"), F.col("told").alias("n_records")
+    )
+    return counted.select("run_id", "what", "n_documents", "n_records").unionByName(exploded)
+
+
 @query
 def scan_snapshot_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(w.vuln_documents(spark, sf_dir), "snapshot-documents")
-    envelopes, batch = documents.scan_documents(documents.read_document_lines(spark, path), m.VULN_FEED)
-    found = envelopes.groupBy("run_id", F.coalesce("fault", F.lit("sound")).alias("what")).agg(
-        F.count("*").alias("n_documents"), F.sum("n_records").alias("n_records")
-    )
-    keys = batch.select("run_id", F.expr("variant_get(record, '$.cveID', 'string')").alias("cve"))
-    exploded = keys.groupBy("run_id").agg(
-        F.lit("records").alias("what"), F.count("*").alias("n_documents"), F.count("cve").alias("n_records")
-    )
-    return found.unionByName(exploded)
+    return _scanned(spark, path, m.VULN_FEED, F.count(F.expr("variant_get(record, '$.cveID', 'string')")))
 
 
 @query
 def scan_window_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(w.window_documents(spark, sf_dir), "window-documents")
-    envelopes, batch = documents.scan_documents(documents.read_document_lines(spark, path), m.IOC_FEED)
-    found = envelopes.groupBy("run_id", F.coalesce("fault", F.lit("sound")).alias("what")).agg(
-        F.count("*").alias("n_documents"), F.sum("n_records").alias("n_records")
-    )
-    exploded = batch.groupBy("run_id").agg(
-        F.lit("records").alias("what"),
-        F.count("*").alias("n_documents"),
-        F.countDistinct(F.expr("variant_get(record, '$.ioc', 'string')")).alias("n_records"),
-    )
-    return found.unionByName(exploded)
+    return _scanned(spark, path, m.IOC_FEED, F.countDistinct(F.expr("variant_get(record, '$.ioc', 'string')")))
 
 
 @query
 def scan_stix_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(w.catalog_objects(spark, sf_dir), "catalogue-objects")
-    objects = catalog.read_object_lines(spark, path)
+    objects = stage(catalog.read_object_lines(spark, path), "catalogue")  # the JSON is read once
     return _counts(
         objects=objects,
         software=catalog.software(objects),
