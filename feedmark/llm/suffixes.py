@@ -2,7 +2,7 @@
 
 Only suffixes at anchors are sorted. An anchor is a place whose string of SEED bytes has the least
 hash among the places of some window of LENGTH bytes, so equal windows have their anchors at equal
-offsets, and about one byte in a hundred is an anchor. An anchor whose seed occurs once cannot lie
+offsets, and about one byte in 137 is an anchor. An anchor whose seed occurs once cannot lie
 in a repeated window; the others' suffixes are sorted, together with what stands before them.
 """
 
@@ -21,7 +21,7 @@ from feedmark.llm.tokens import slices
 from feedmark.session import stage
 
 LENGTH = 400
-SEED = 200
+SEED = 128
 HEAD = 8  # first bytes of a suffix, by which the sort is cut into ranges
 EVERY = 64  # one anchor in so many tells where to cut
 RANGE = 100_000  # anchors in a range, on average
@@ -393,9 +393,12 @@ def spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """doc_id, text, starts, stops: byte ranges covered by strings of ``length`` bytes that also start elsewhere."""
     docs = docs.select("doc_id", "text")
     found = stage(anchor_table(docs, length, seed), "anchors")
-    each = found.select("doc_id", "text_hash", F.explode(F.arrays_zip("places", "hashes")).alias("a")).select("doc_id", "text_hash", "a.places", "a.hashes")
+    each = found.select("row_id", F.explode(F.arrays_zip("places", "hashes")).alias("a")).select("row_id", "a.places", "a.hashes")
     twice = each.groupBy("hashes").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hashes").alias("again"))
-    held = each.join(twice, F.col("hashes") == F.col("again")).groupBy("doc_id", "text_hash").agg(F.collect_set("places").alias("places"))
+    held = each.join(twice, F.col("hashes") == F.col("again")).groupBy("row_id").agg(F.collect_list("places").alias("places"))
+    held = held.join(found.select("row_id", "doc_id", "text_hash"), "row_id")
+    # rows alike in both have the same places
+    held = held.groupBy("doc_id", "text_hash").agg(F.any_value("places").alias("places"))
     n = found.agg(F.sum(F.size("places")).alias("n")).first()["n"] or 0
     parts = max(1, math.ceil(n / RANGE))
     heads = found.select(F.explode("heads").alias("head"))

@@ -286,6 +286,16 @@ def test_repeated_strings(docs, none, length, seed):
     assert suffixes.removed(none).count() == 0
 
 
+def test_long_texts_are_taken_in_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 101, 20_000).astype(np.uint8)
+    bounds = np.array([0, len(data)])
+    want = suffixes.anchors(data, bounds, 40, 12)
+    monkeypatch.setattr(suffixes, "PIECE", 700)
+    got = suffixes.anchors(data, bounds, 40, 12)
+    assert all(np.array_equal(a, b) for a, b in zip(want, got)) and len(want[0])
+
+
 def test_merge_never_compares_what_is_known():
     rng = np.random.default_rng(6)
     for _ in range(60):
