@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from feedmark.functions import records
-
 SOFTWARE_TYPES = ("malware", "tool")
 TECHNIQUE_SOURCE = "mitre-attack"
 
