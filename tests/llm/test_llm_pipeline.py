@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from feedmark.llm import toxicity
-from test_llm_operators import SCHEMA, WORDS, encoded, jaccard_components, shared, whole  # noqa: F401
+from test_llm_operators import WORDS, encoded, jaccard_components, shared, whole
 
 SF = "/root/testdata/sf0.001"
 
