@@ -66,10 +66,13 @@ def exact_groups(docs: DataFrame, identifier: Callable[[Column], Column] = diges
 
 def drop_copies(docs: DataFrame, identifier: Callable[[Column], Column] = digest) -> DataFrame:
     """``docs``, all columns, without the rows that ``exact_groups`` drops; of repeated rows one stays."""
-    groups = exact_groups(docs, identifier).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.sha2(whole_text(), 256).alias("sha"))
-    found = rows.join(groups, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("sha") == F.col("kept_sha")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("id", "sha").orderBy("sha"))
+    # the same columns for join and window, so that the texts move once
+    same = ["id", "no_id", "sha"]
+    key = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    groups = exact_groups(docs, identifier).where("kept").select(*key, F.col("text_sha256").alias("sha"))
+    rows = docs.select(F.struct("*").alias("row"), *key, F.sha2(whole_text(), 256).alias("sha"))
+    found = rows.join(groups, same, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("sha"))
     return found.withColumn("nth", nth).where("nth = 1").select("row.*")
 
 

@@ -294,10 +294,14 @@ def similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 def drop_similar(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs``, all columns, with one document of each component; documents without words stay."""
-    kept = similar(docs, size, percent).where("kept").groupBy(F.col("doc_id").alias("kept_id"), "text_hash").agg(F.max("n_shingles").alias("n"))
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("hash"))
-    found = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("text_hash")))
-    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
+    # the same columns for join and window, so that the texts move once
+    same = ["id", "no_id", "hash"]
+    key = [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")]
+    kept = similar(docs, size, percent).where("kept").select(*key, F.col("text_hash").alias("hash"), "n_shingles")
+    kept = kept.groupBy(*same).agg(F.max("n_shingles").alias("n"))
+    rows = docs.select(F.struct("*").alias("row"), *key, F.xxhash64(whole_text()).alias("hash"))
+    found = rows.join(kept, same)
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("hash"))
     return found.withColumn("nth", nth).where("nth = 1 OR n = 0").select("row.*")
 
 
