@@ -7,7 +7,6 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from feedmark.llm.common import components, numbered, table, whole_text

@@ -90,7 +90,7 @@ def fit(labels: np.ndarray, rows: np.ndarray, buckets: np.ndarray, epochs: int =
         return machine
     names, held = np.unique(buckets, return_counts=True)
     names, held = names[held >= LEAST], held[held >= LEAST]
-    found, counts = np.unique(buckets[labels[rows] == 1], return_counts=True)
+    found, counts = np.unique(buckets[(labels == 1)[rows]], return_counts=True)
     toxic = np.zeros(len(names))
     _, at, of = np.intersect1d(names, found, assume_unique=True, return_indices=True)
     toxic[at] = counts[of]
