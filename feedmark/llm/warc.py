@@ -20,6 +20,7 @@ DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[0-9]\r\n")
+CUT = "member is cut off"
 _CHUNK = 1 << 16
 
 
@@ -89,33 +90,59 @@ def _member(raw: memoryview, at: int) -> tuple[bytes, int, str]:
         except zlib.error as error:
             return b"".join(out), at, str(error)
         at += len(chunk) - len(unzip.unused_data)
-    return b"".join(out), at, "" if unzip.eof else "member is cut off"
+    return b"".join(out), at, "" if unzip.eof else CUT
+
+
+def _valid(view: memoryview, at: int) -> bool:
+    """Whether a member that begins with a version line, or that passes its checks, begins at ``at``."""
+    start, _, fault = _member(view[: at + _CHUNK], at)
+    if not fault or VERSION.match(start):
+        return True
+    return fault == CUT and at + _CHUNK < len(view) and not _member(view, at)[2]
+
+
+def _next_member(raw: bytes, at: int) -> int:
+    view = memoryview(raw)
+    while (at := raw.find(MEMBER, at)) >= 0 and not _valid(view, at):
+        at += 1
+    return at if at >= 0 else len(raw)
+
+
+def _next_record(raw: bytes, at: int, stop: int) -> int:
+    for found in VERSION.finditer(raw, at, stop):
+        if isinstance(_record(raw, found.start()), tuple):
+            return found.start()
+    return stop
 
 
 def salvage(raw: bytes) -> Iterator[Record | Gap]:
     """Records and gaps of an archive, gzipped by member or as a whole, or plain, in order.
 
-    A member or record that fails a check is followed by a search for the next valid member or
-    version line. Records before the fault in a damaged member are kept if they are whole.
+    A member or record that fails a check is followed by a search for the next valid member and the
+    next version line of a whole record, wherever the archive began; the first of them is taken.
+    Records before the fault in a damaged member are kept if they are whole.
     """
-    if not raw.startswith(MEMBER):
-        yield from _records(raw, None)
-        return
-    view, at = memoryview(raw), 0
+    view, at, member = memoryview(raw), 0, -1
     while at < len(raw):
-        data, end, fault = _member(view, at) if raw.startswith(MEMBER, at) else (b"", at, "no member")
-        if not fault:
-            yield from _records(data, at)
-            at = end
-            continue
-        yield from _records(data, at, cut=True)
-        following = at
-        while (following := raw.find(MEMBER, following + 1)) >= 0:
-            start, _, bad = _member(view[: following + _CHUNK], following)
-            if not bad or VERSION.match(start):
-                break
-        stop = following if following >= 0 else len(raw)
-        yield Gap(at, stop - at, fault)
+        end = at
+        if raw.startswith(MEMBER, at):
+            data, end, fault = _member(view, at)
+            if not fault:
+                yield from _records(data, at)
+                at = end
+                continue
+            yield from _records(data, at, cut=True)
+        else:
+            got = _record(raw, at)
+            if isinstance(got, tuple):
+                record, at = got
+                yield record
+                continue
+            fault = got
+        if member <= end:
+            member = _next_member(raw, end + 1)
+        stop = _next_record(raw, end + 1, member)
+        yield Gap(end, stop - end, fault)
         at = stop
 
 

@@ -362,6 +362,24 @@ def test_salvage():
     assert numbers(warc.salvage(b"".join(members)[:-5])) == [0, 1, 2, 3, 4, 5]
 
 
+def test_salvage_of_a_damaged_beginning():
+    import gzip
+
+    plain = [record(i, b"block %d " % i * 9) for i in range(6)]
+    members = [gzip.compress(p) for p in plain]
+    whole_file = b"".join(members)
+    for head in (b"\x00", b"\x1f\x00", b"\x1f\x8b\x00", b"\x1f\x8b\x08\xff"):
+        got = list(warc.salvage(head + whole_file[len(head) :]))
+        assert numbers(got) == [1, 2, 3, 4, 5]
+        assert [(g.offset, g.length) for g in got if isinstance(g, warc.Gap)] == [(0, len(members[0]))]
+    got = list(warc.salvage(b"junk" + whole_file))
+    assert numbers(got) == list(range(6)) and [(g.offset, g.length) for g in got if isinstance(g, warc.Gap)] == [(0, 4)]
+    mixed = b"junk" + plain[0] + b"junk" + members[1] + plain[2] + members[3][:-20] + plain[4] + members[5]
+    assert numbers(warc.salvage(mixed)) == [0, 1, 2, 4, 5]
+    long = gzip.compress(b"\n" + record(7, np.random.default_rng(1).bytes(200_000)))  # no version line first, more than a chunk
+    assert numbers(warc.salvage(b"junk" + long)) == [7]
+
+
 # --- 8
 
 
