@@ -18,6 +18,8 @@ LEAST = 100  # bytes of a payload that may be revisited
 RECORDS = 2000  # in a file
 DATE = "1970-01-01T00:00:00Z"
 END = b"\r\n\r\n"
+CHECK = b"\r\nX-Header-CRC32: "  # of the headers before it
+EMPTY = zlib.compress(b"", wbits=31)
 MEMBER = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[0-9]\r\n")
 CUT = "member is cut off"
@@ -39,12 +41,16 @@ def record_types(pages: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def write(pages: DataFrame, folder: str, least: int = LEAST, records: int = RECORDS) -> None:
-    """One record for each row, in gzipped WARC files of ``folder``; Spark's text writer ends records."""
+    """One record for each row, each a gzip member, in WARC files of ``folder``.
+
+    Spark's text writer moves the bytes, so its committer sees to lost tasks. It ends each row with
+    a zero byte, which is the last one of a member below 16 MB; a longer one is followed by an empty member.
+    """
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     again = F.col("refers_to").isNotNull()
     block = F.when(again, F.lit("")).otherwise(F.col("payload"))
-    record = F.concat(
+    head = F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.when(again, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", urn("page_id")),
@@ -55,11 +61,20 @@ def write(pages: DataFrame, folder: str, least: int = LEAST, records: int = RECO
         F.when(again, line("WARC-Refers-To", urn("refers_to"))).otherwise(F.lit("")),
         F.lit("Content-Type: text/html; charset=utf-8\r\n"),
         line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit("\r\n"),
-        block,
     )
-    out = record_types(pages, least).select(record.alias("value")).write
-    out.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", records).text(folder)
+    check = F.concat(F.lit(CHECK[2:].decode()), F.crc32(head.cast("binary")).cast("string"), F.lit(END.decode()))
+    record = F.concat(head, check, block, F.lit(END.decode()))
+    rows = record_types(pages, least).select(record.alias("value")).mapInArrow(_zipped, "value binary")
+    out = rows.select(F.col("value").cast("string")).write
+    out.option("lineSep", "\0").option("compression", "none").option("maxRecordsPerFile", records).text(folder)
+
+
+def _zipped(batches):
+    """A member for each record, without the zero byte at its end."""
+    for batch in batches:
+        members = [zlib.compress(value.as_buffer(), wbits=31) for value in batch.column("value")]
+        members = [m[:-1] if not m[-1] else m + EMPTY[:-1] for m in members]
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], names=["value"])
 
 
 @dataclass
@@ -80,15 +95,41 @@ class Gap:
     found: list = field(default_factory=list, repr=False)
 
 
+def _up_to_fault(unzip, chunk: memoryview) -> tuple[bytes, int]:
+    """What comes out of a chunk before it fails, and at which byte: by ever smaller steps, at last byte by byte both ways."""
+    out, passed = [], 0
+    for step in (4096, 64, 1):
+        at = 0
+        while True:
+            before = unzip.copy()
+            try:
+                out.append(unzip.decompress(chunk[at : at + step]))
+            except zlib.error:
+                unzip, chunk = before, chunk[at : at + step]
+                break
+            at += step
+        passed += at
+    try:
+        some = unzip.decompress(chunk, 1)
+        while some:
+            out.append(some)
+            some = unzip.decompress(unzip.unconsumed_tail, 1)
+    except zlib.error:
+        pass
+    return b"".join(out), passed
+
+
 def _member(raw: memoryview, at: int) -> tuple[bytes, int, str]:
     """What the member at ``at`` holds, where it ends, and what is wrong with it."""
     unzip, out = zlib.decompressobj(31), []
     while at < len(raw) and not unzip.eof:
         chunk = raw[at : at + _CHUNK]
+        before = unzip.copy()
         try:
             out.append(unzip.decompress(chunk))
         except zlib.error as error:
-            return b"".join(out), at, str(error)
+            rest, passed = _up_to_fault(before, chunk)
+            return b"".join(out) + rest, at + passed, str(error)
         at += len(chunk) - len(unzip.unused_data)
     return b"".join(out), at, "" if unzip.eof else CUT
 
@@ -120,18 +161,21 @@ def salvage(raw: bytes) -> Iterator[Record | Gap]:
 
     A member or record that fails a check is followed by a search for the next valid member and the
     next version line of a whole record, wherever the archive began; the first of them is taken.
-    Records before the fault in a damaged member are kept if they are whole.
+    Records before the fault in a damaged member are kept if they are whole and pass their own
+    checks: the digest of the payload, and that of the headers in the archives written here.
     """
     view, at, member = memoryview(raw), 0, -1
     while at < len(raw):
         end = at
         if raw.startswith(MEMBER, at):
-            data, end, fault = _member(view, at)
+            data, fails, fault = _member(view, at)
             if not fault:
                 yield from _records(data, at)
-                at = end
+                at = fails
                 continue
-            yield from _records(data, at, cut=True)
+            for got in _records(data, at, cut=True):
+                end = fails if isinstance(got, Record) else end
+                yield got
         else:
             got = _record(raw, at)
             if isinstance(got, tuple):
@@ -139,9 +183,10 @@ def salvage(raw: bytes) -> Iterator[Record | Gap]:
                 yield record
                 continue
             fault = got
-        if member <= end:
-            member = _next_member(raw, end + 1)
+        if member <= at:
+            member = _next_member(raw, at + 1)  # it may stand before the place that failed
         stop = _next_record(raw, end + 1, member)
+        end = min(end, stop)
         yield Gap(end, stop - end, fault)
         at = stop
 
@@ -181,6 +226,9 @@ def _record(data: bytes, at: int) -> tuple[Record, int] | str:
     if data[end : end + len(END)] != END:
         return "block does not end where it should"
     block = data[start:end]
+    check = data.find(CHECK, at, body)
+    if check >= 0 and headers[CHECK[2:-2].decode().lower()] != str(zlib.crc32(data[at : check + 2])):
+        return "header check differs"
     digest = headers.get("warc-payload-digest", "")
     if headers.get("warc-type") != "revisit" and digest.startswith("sha256:") and hashlib.sha256(block).hexdigest() != digest[7:]:
         return "payload digest differs"

@@ -380,6 +380,52 @@ def test_salvage_of_a_damaged_beginning():
     assert numbers(warc.salvage(b"junk" + long)) == [7]
 
 
+def test_salvage_keeps_records_before_a_fault_in_their_member():
+    import gzip
+
+    rng = np.random.default_rng(5)
+    plain = [record(i, bytes(rng.integers(97, 123, 900).tolist())) for i in range(20)]
+    raw = bytearray(gzip.compress(b"".join(plain)) + gzip.compress(record(20, b"next")))
+    end = len(gzip.compress(b"".join(plain)))
+    for at in (end // 4, end // 2, end * 3 // 4):
+        damaged = raw[:at] + bytes(raw[at : at + 1]).translate(bytes(255 - i for i in range(256))) + raw[at + 1 :]
+        got = numbers(warc.salvage(bytes(damaged)))
+        whole = at * 20 // end - 1  # as many have gone by, and each is verified
+        assert got[:whole] == list(range(whole)) and got[-1] == 20 and len(got) == len(set(got))
+    raw[end - 8] ^= 1  # only the member's check
+    got = list(warc.salvage(bytes(raw)))
+    assert numbers(got) == list(range(21)) and [g.reason for g in got if isinstance(g, warc.Gap)] == ["Error -3 while decompressing data: incorrect data check"]
+    one = bytearray(gzip.compress(plain[3]))
+    one[-8] ^= 1
+    assert numbers(warc.salvage(bytes(one))) == [3]
+    squeezed = bytearray(gzip.compress(record(1, b"z" * 100_000) + record(2, b"y" * 100_000)))
+    squeezed[-8] ^= 1
+    assert numbers(warc.salvage(bytes(squeezed))) == [1, 2]
+    parts = [gzip.compress(p) for p in plain[:4]]
+    assert numbers(warc.salvage(parts[0] + parts[1][: len(parts[1]) // 2] + parts[2] + parts[3])) == [0, 2, 3]
+
+
+def test_written_members_hold_a_record_each(spark, tmp_path):
+    from pathlib import Path
+
+    rng = np.random.default_rng(2)
+    blocks = [rng.bytes(200 + 50 * i).hex() for i in range(30)] + ["z" * (17 << 20)]  # one whose size fills four bytes
+    df = spark.createDataFrame([(i, "u", b) for i, b in enumerate(blocks)], "page_id bigint, url string, html string").coalesce(1)
+    warc.write(df, f"{tmp_path}/w")
+    raws = [p.read_bytes() for p in Path(tmp_path, "w").glob("part-*")]
+    got = [g for raw in raws for g in warc.salvage(raw)]
+    assert sorted(numbers(got)) == list(range(31)) and all(isinstance(g, warc.Record) for g in got)
+    raw = bytearray(max(raws, key=len))
+    at = len(raw) // 2
+    raw[at] ^= 255
+    got = list(warc.salvage(bytes(raw)))
+    held = numbers(warc.salvage(max(raws, key=len)))
+    assert len(numbers(got)) >= len(held) - 1
+    text = b"".join(zlib.decompress(bytes(m), 31) for m in [raw[: bytes(raw).index(warc.MEMBER, 1)]])
+    assert isinstance(warc._record(text, 0), tuple)
+    assert warc._record(text.replace(b"<urn:page:", b"<urn:page:9", 1), 0) == "header check differs"
+
+
 # --- 8
 
 
