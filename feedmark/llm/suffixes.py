@@ -8,8 +8,11 @@ in a repeated window; the others' suffixes are sorted, together with what stands
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ SEED = 128
 HEAD = 8  # first bytes of a suffix, by which the sort is cut into ranges
 EVERY = 64  # one anchor in so many tells where to cut
 RANGE = 100_000  # anchors in a range, on average
+HOT = 20_000  # anchors of one seed; if it has more, its windows are counted over all tasks
+SPLIT = 4  # parts of a block of offsets
 RUN = 50_000  # distinct suffixes that a task sorts before it sends them
 PIECE = 1 << 20  # bytes hashed at once
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -252,13 +257,26 @@ def merge(runs: list[Run]):
         top, known = now, have
 
 
+def _range_of(cuts: list[int], suffixes: list[bytes], seed: int) -> np.ndarray:
+    """The range of each suffix; a head at which several cuts fall is spread over as many ranges by the seeds."""
+    if not cuts:
+        return np.zeros(len(suffixes), int)
+    heads = [_head(s) for s in suffixes]
+    low, high = (np.searchsorted(cuts, heads, side=side) for side in ("left", "right"))
+    for i in np.flatnonzero(high - low > 1):
+        high[i] -= zlib.crc32(suffixes[i][:seed]) % (high[i] - low[i])
+    return high
+
+
 def _runs(cuts: list[int], length: int, seed: int):
     """Sorted runs for each range of suffixes, from texts and the places of their anchors."""
     ahead = length - seed
 
     def send(held: dict):
         entries = sorted((suffix, before, found) for (suffix, before), found in held.items())
-        to = np.searchsorted(cuts, [_head(e[0]) for e in entries], side="right") if cuts else np.zeros(len(entries), int)
+        to = _range_of(cuts, [e[0] for e in entries], seed)
+        order = np.argsort(to, kind="stable")
+        entries, to = [entries[i] for i in order], to[order]
         at = np.searchsorted(to, np.arange(len(cuts) + 2))
         some = [i for i in range(len(cuts) + 1) if at[i + 1] > at[i]]
         runs = [Run.pack(entries[at[i] : at[i + 1]]) for i in some]
@@ -382,6 +400,97 @@ def _resolve(length: int, seed: int):
     return run
 
 
+def _contexts(length: int, seed: int, hot: np.ndarray):
+    """What stands around each anchor of a seed in ``hot``, as far as windows reach."""
+    ahead = length - seed
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["doc_id", "text_hash", "place", "lead", "context"]
+
+    def rows(part):
+        for doc, text_hash, text in zip(*(part.column(c) for c in ("doc_id", "text_hash", "text"))):
+            raw = text.as_buffer().to_pybytes()
+            place, hashes = anchors(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), length, seed)
+            for p in place[np.isin(hashes.astype(np.int64), hot)].tolist():
+                yield doc.as_py(), text_hash.as_py(), p, min(p, ahead), raw[max(0, p - ahead) : p + length]
+
+    def run(batches):
+        for batch in batches:
+            found = rows(batch)
+            while some := list(itertools.islice(found, RUN)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*some), kinds)], names=names)
+
+    return run
+
+
+def _blocks(length: int, seed: int, last: int, width: int):
+    """id, first, low, high, core, hull: of each block of ``width`` offsets in the blocks of ``last`` that begin at ``firsts``.
+
+    low to high are its offsets whose windows lie in the text; core and hull are digests of the bytes
+    common to the windows of the block, and of all bytes of those in the text.
+    """
+    ahead = length - seed
+
+    def rows(i, lead, context, firsts):
+        for start in firsts:
+            stop = min(start + last, ahead + 1)
+            for first in range(start, stop, width):
+                end = min(first + width, stop) - 1
+                low, high = max(first, length - (len(context) - lead)), min(end, lead)
+                if low <= high:
+                    core = b"%d %d " % (first, end) + context[lead - first : lead + length - end]
+                    hull = b"%d %d " % (low, high) + context[lead - high : lead + length - low]
+                    yield i, first, low, high, *(hashlib.sha256(x).digest()[:16] for x in (core, hull))
+
+    def run(batches):
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found = [r for entry in zip(*(part.column(c).to_pylist() for c in ("id", "lead", "context", "firsts"))) for r in rows(*entry)]
+                if found:
+                    arrays = [pa.array(c, kind) for c, kind in zip(zip(*found), kinds)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["id", "first", "low", "high", "core", "hull"])
+
+    return run
+
+
+def _again(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the least id of those equal in ``key``, null if there is one only. Very common keys, which are few, are not exchanged."""
+    groups = rows.groupBy(key).agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
+    common = groups.where(F.col("n") > HOT).select(F.col(key).alias("common"), F.col("least").alias("common_id"))
+    others = groups.where(F.col("n") <= HOT).select(F.col(key).alias("other"), F.col("least").alias("other_id"))
+    rows = rows.join(F.broadcast(common), F.col(key) == F.col("common"), "left")
+    rows = rows.withColumn("at", F.when(F.col("common_id").isNull(), F.col(key)).otherwise(F.col("id").cast("string").cast("binary")))
+    rows = rows.join(others, F.col("at") == F.col("other"), "left")
+    return rows.withColumn(f"{key}_id", F.coalesce("common_id", "other_id")).drop("common", "common_id", "other", "other_id", "at")
+
+
+def counted(contexts: DataFrame, length: int, seed: int) -> DataFrame:
+    """doc_id, text_hash, start, stop: what is repeated around anchors of which very many share a seed.
+
+    Blocks of offsets are cut into SPLIT a round. A block whose core occurs once holds no repeated
+    window, one whose hull occurs again only repeated ones; the others are cut, at last to single
+    windows, together with one of each equal hull, whose windows others may share. Digests (128 bits of SHA-256) are counted, each task's first, so no seed, and no
+    window, gathers more than narrow rows in a task.
+    """
+    last = width = length - seed + 1
+    todo = contexts.withColumn("firsts", F.array(F.lit(0)))
+    whole = []
+    while True:
+        schema = "id bigint, first int, low int, high int, core binary, hull binary"
+        rows = stage(todo.select("id", "lead", "context", "firsts").mapInArrow(_blocks(length, seed, last, width), schema), "blocks")
+        rows = _again(_again(rows, "core").where("core_id is not null"), "hull").withColumnRenamed("hull_id", "witness")
+        rows = stage(rows.select("id", "first", "low", "high", "witness"), "counted")
+        whole.append(rows.where("witness is not null").select("id", "low", "high"))
+        if width == 1 or rows.where("witness is null").isEmpty():
+            break
+        open_ = rows.where("witness is null or witness = id")
+        todo = contexts.join(open_.groupBy("id").agg(F.collect_list("first").alias("firsts")), "id")
+        last, width = width, math.ceil(width / SPLIT)
+    found = functools.reduce(DataFrame.unionByName, whole).join(contexts.select("id", "doc_id", "text_hash", "place"), "id")
+    return found.select("doc_id", "text_hash", (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + length).alias("stop"))
+
+
 def _united(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     order = np.argsort(starts, kind="stable")
     starts, stops = starts[order], np.maximum.accumulate(stops[order])
@@ -394,7 +503,8 @@ def spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     docs = docs.select("doc_id", "text")
     found = stage(anchor_table(docs, length, seed), "anchors")
     each = found.select("row_id", F.explode(F.arrays_zip("places", "hashes")).alias("a")).select("row_id", "a.places", "a.hashes")
-    twice = each.groupBy("hashes").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hashes").alias("again"))
+    seeds = stage(each.groupBy("hashes").agg(F.count("*").alias("n")).where("n > 1").select(F.col("hashes").alias("again"), "n"), "seeds")
+    twice = seeds.where(F.col("n") <= HOT).drop("n")
     held = each.join(twice, F.col("hashes") == F.col("again")).groupBy("row_id").agg(F.collect_list("places").alias("places"))
     held = held.join(found.select("row_id", "doc_id", "text_hash"), "row_id")
     # rows alike in both have the same places
@@ -404,7 +514,7 @@ def spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     heads = found.select(F.explode("heads").alias("head"))
     shares = [(i + 1) / parts for i in range(parts - 1)]
     cuts = heads.agg(F.percentile_approx("head", shares, 10_000).alias("cuts")).first()["cuts"] if shares else None  # a number for each range
-    cuts = sorted(set(cuts or []))
+    cuts = sorted(cuts or [])
 
     whole = _key_columns(docs)
 
@@ -415,6 +525,12 @@ def spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
 
     runs = beside(held).mapInArrow(_runs(cuts, length, seed), "range int, run binary")
     ranges = runs.groupBy("range").applyInPandas(_resolve(length, seed), "doc_id bigint, text_hash bigint, start bigint, stop bigint")
+    hot = [r["again"] for r in seeds.where(F.col("n") > HOT).collect()]  # one number for HOT anchors at most
+    if hot:
+        # texts are read again, not exchanged
+        schema = "doc_id bigint, text_hash bigint, place bigint, lead int, context binary"
+        around = whole.mapInArrow(_contexts(length, seed, np.array(hot)), schema).withColumn("id", F.monotonically_increasing_id())
+        ranges = ranges.unionByName(counted(stage(around, "contexts"), length, seed))
     ranges = ranges.groupBy("doc_id", "text_hash").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
     return beside(ranges)
 

@@ -286,6 +286,40 @@ def test_repeated_strings(docs, none, length, seed):
     assert suffixes.removed(none).count() == 0
 
 
+@pytest.mark.parametrize("passage", [30, 90, 260])
+def test_no_task_gathers_a_seed_of_many_texts(spark, monkeypatch, passage):
+    monkeypatch.setattr(suffixes, "HOT", 20, raising=False)
+    resolve = suffixes._resolve
+
+    def watched(length, seed):
+        inner = resolve(length, seed)
+
+        def run(group):
+            held = Counter(s[:seed] for raw in group.run for s, _ in suffixes.Run(raw).suffixes())
+            assert max(held.values(), default=0) <= 20, "a seed in one task"
+            return inner(group)
+
+        return run
+
+    monkeypatch.setattr(suffixes, "_resolve", watched)
+    rng = np.random.default_rng(passage)
+    some = lambda n: bytes(rng.integers(97, 107, n).tolist()).decode()
+    shared = some(passage)
+    texts = [some(rng.integers(0, 60)) + shared + some(rng.integers(0, 60)) for _ in range(60)]
+    texts += [shared[: passage // 2], shared + shared, texts[0], texts[1][5:], "q" * 90, some(200), shared[-25:] + some(9), None]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (None, texts[2])], "doc_id bigint, text string")
+    want = sorted(((d, *x) for d, x in zip([*range(len(texts)), 0, None], remaining([*texts, texts[0], texts[2]], 40))), key=repr)
+    assert rows_of(suffixes.removed(df, 40, 12), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_equal_heads_are_spread_over_ranges():
+    heads = [b"same8888" + bytes([i]) * 20 for i in range(200)]
+    cuts = sorted([suffixes._head(heads[0])] * 6 + [suffixes._head(b"a"), suffixes._head(b"z")])
+    to = suffixes._range_of(cuts, [b"A", *heads, b"t", b"zz"], 20)
+    assert to[0] == 0 and to[-1] == 8 and to[-2] == 7 and len(set(to[1:-2])) == 6
+    assert list(suffixes._range_of(cuts, heads[::-1], 20)) == list(to[1:-2][::-1])
+
+
 def test_long_texts_are_taken_in_pieces(monkeypatch):
     rng = np.random.default_rng(3)
     data = rng.integers(97, 101, 20_000).astype(np.uint8)
