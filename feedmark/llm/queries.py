@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmark.llm import bpe, exact, mixing, ngrams, secrets, suffixes, token_files, toxicity, vectors, warc
+from feedmark.llm import bpe, divergence, exact, merkle, mixing, ngrams, pieces, secrets, suffixes, token_files, toxicity, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def registered() -> dict[str, Query]:
         "op8_ngram_join": ngrams.query,
         "op9_exact_dedup": exact.query,
         "op10_secret_scan": secrets.query,
+        "op11_merkle_manifest": merkle.query,
+        "op12_source_divergence": divergence.query,
+        "op13_pieces_round_trip": pieces.query,
     }
 
 
@@ -33,4 +36,6 @@ def sql() -> dict[str, str]:
         "op8_ngram_join": ngrams.SQL,
         "op9_exact_dedup": exact.SQL,
         "op10_secret_scan": secrets.SQL,
+        "op11_merkle_manifest": merkle.SQL,
+        "op12_source_divergence": divergence.SQL,
     }
