@@ -115,17 +115,16 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 class Slice:
     """The shares of a block of groups over a block of terms: ``least`` where a group lacks a term."""
 
-    def __init__(self, row: dict):
-        members = sorted((m["member"], m["source"], m["least"]) for m in row["members"])
+    def __init__(self, row: pa.Table):
+        members = sorted((m["member"], m["source"], m["least"]) for m in row.column("members")[0].as_py())
         self.sources = [m[1] for m in members]
         self.least = np.array([m[2] for m in members], dtype=np.int64)
-        held = row["entries"]
-        member = np.array([e["member"] for e in held], dtype=np.int64)
+        held = row.column("entries")[0].values
+        member, place, p = (held.field(c).to_numpy().astype(np.int64) for c in ("member", "place", "p"))
         order = np.argsort(member, kind="stable")
-        self.place = np.array([e["place"] for e in held], dtype=np.int64)[order]
-        self.p = np.array([e["p"] for e in held], dtype=np.int64)[order]
+        self.place, self.p = place[order], p[order]
         self.bounds = np.searchsorted(member[order], np.arange(len(members) + 1))
-        self.width = row["width"]
+        self.width = row.column("width")[0].as_py()
 
     def summed(self, values: np.ndarray) -> np.ndarray:
         """Of entries, for each member. Sums past 64 bits come right again in the difference."""
@@ -160,9 +159,10 @@ def _cell(left: pa.Table, right: pa.Table) -> pa.Table:
     """One cell of the cube: two blocks of groups over one block of terms, in both directions."""
     if not left.num_rows or not right.num_rows:  # a block that no group falls into
         return pa.table({c: pa.array([], k) for c, k in (("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64()))})
-    a, b = Slice(left.to_pylist()[0]), Slice(right.to_pylist()[0])
     lang = left.column("lang")[0].as_py()
     same = left.column("group_block")[0] == right.column("group_block")[0]
+    a = Slice(left)
+    b = a if same else Slice(right)
     made = []
     for x, y in ((a, b),) if same else ((a, b), (b, a)):
         value = partial(x, y).ravel()
