@@ -10,8 +10,13 @@ from pyspark.sql import Column, functions as F
 
 
 def parse(text: Column) -> Column:
-    """JSON text as VARIANT, NULL when it is not JSON."""
-    return F.try_parse_json(text)
+    """JSON text as VARIANT, NULL when it is not JSON as a whole.
+
+    The parser stops behind the first value, so the text is read as a list, which must have one element.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(listed, "$[0]", "variant"))
 
 
 def child(record: Column, name: str) -> Column:
@@ -20,7 +25,7 @@ def child(record: Column, name: str) -> Column:
 
 
 def text(record: Column, name: str) -> Column:
-    """Field as text (numbers and booleans too); NULL for missing, null and nested values."""
+    """Field as text (numbers and booleans too, lists and objects as JSON); NULL for missing and null."""
     return F.try_variant_get(record, f"$.{name}", "string")
 
 
@@ -48,21 +53,28 @@ def only_string(record: Column, name: str) -> Column:
     return F.when(kind_of(record, name) == "STRING", text(record, name))
 
 
-def truthy(record: Column, name: str) -> Column:
-    """Given at all: neither missing, null, '', zero, false nor an empty list or object."""
-    field, kind = child(record, name), kind_of(record, name)
+def is_given(kind: Column, text: Column) -> Column:
+    """Given at all: neither missing, null, '', zero of any number type, false nor an empty list or object.
+
+    ``kind`` is the SQL type name, ``text`` the value as text (lists and objects as JSON).
+    """
     number = kind.rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
     given = (
         F.when(kind == "VOID", False)
-        .when(kind == "STRING", text(record, name) != "")
-        .when(kind == "BOOLEAN", text(record, name) == "true")
-        .when(number, F.coalesce(text(record, name).try_cast("double") != 0, F.lit(True)))
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~F.to_json(field).isin("[]", "{}"))
+        .when(kind == "STRING", text != "")
+        .when(kind == "BOOLEAN", text == "true")
+        .when(number, F.coalesce(text.try_cast("double") != 0, F.lit(True)))
+        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~text.isin("[]", "{}"))
         .otherwise(kind.isNotNull())
     )
     return F.coalesce(given, F.lit(False))
 
 
+def truthy(record: Column, name: str) -> Column:
+    """Whether a field of the record is given, in the sense of ``is_given``."""
+    return is_given(kind_of(record, name), text(record, name))
+
+
 def has_value(record: Column, name: str) -> Column:
     """Present for coverage: neither missing, null nor the empty string; an empty list counts."""
     kind = kind_of(record, name)

@@ -102,15 +102,7 @@ def _optional_string(name: str) -> Column:
 
 def _falsy(name: str) -> Column:
     """Missing, null, '', zero, false or empty: such a field counts as not given."""
-    kind, text = F.col(f"k_{name}"), F.col(f"f_{name}")
-    return (
-        kind.isNull()
-        | (kind == "VOID")
-        | ((kind == "STRING") & (text == ""))
-        | kind.isin("ARRAY<VOID>", "OBJECT<>")
-        | (kind.isin("BIGINT", "DOUBLE") & (F.try_to_number(text, F.lit("0")) == 0))
-        | ((kind == "BOOLEAN") & (text == "false"))
-    )
+    return ~records.is_given(F.col(f"k_{name}"), F.col(f"f_{name}"))
 
 
 def _finish(rows: DataFrame, carried: list[str]) -> DataFrame:

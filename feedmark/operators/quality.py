@@ -17,7 +17,7 @@ from feedmark.session import stage
 RUN = ("source", "run_id")
 
 # Outcome of looking at one feed envelope.
-ENVELOPE_OK, ENVELOPE_BROKEN, ENVELOPE_UNVERIFIED = "ok", "broken", "not_verified"
+ENVELOPE_OK, ENVELOPE_BROKEN, ENVELOPE_UNVERIFIED, ENVELOPE_FAILED = "ok", "broken", "not_verified", "failed"
 
 
 def batch_counts(normalized: DataFrame) -> DataFrame:
@@ -209,11 +209,13 @@ def envelope_verdict(envelopes: DataFrame) -> DataFrame:
     """Contract verdict of each envelope, from the columns of :mod:`feedmark.sources.documents`.
 
     Broken: the list key is gone or is no list. Not verified: the document could not be read,
-    the feed refused or had nothing, or the list is empty, which proves nothing either way.
+    the feed refused or had nothing, or the list is empty, which proves nothing either way. Failed: the
+    document is there, but beyond what the reader takes.
     """
     fault, status = F.col("fault"), F.col("query_status")
     verdict = (
-        F.when(fault == "not_json", F.lit(ENVELOPE_UNVERIFIED))
+        F.when(fault == "too_large", F.lit(ENVELOPE_FAILED))
+        .when(fault == "not_json", F.lit(ENVELOPE_UNVERIFIED))
         .when((F.col("kind") == "window") & ~F.coalesce(status == "ok", F.lit(False)), F.lit(ENVELOPE_UNVERIFIED))
         .when(fault.isin("list_missing", "list_not_a_list"), F.lit(ENVELOPE_BROKEN))
         .when(F.col("n_records") == 0, F.lit(ENVELOPE_UNVERIFIED))

@@ -579,6 +579,19 @@ SELECT run_id, what, count(*) AS n_documents, CAST(sum(n) AS BIGINT) AS n_record
 UNION ALL
 SELECT run_id, 'records', CAST(sum(n) AS BIGINT), CAST(sum(CASE WHEN o % 71 = 0 THEN 0 ELSE n END) AS BIGINT)
 FROM doc GROUP BY 1 HAVING sum(n) > 0"""
+    out["scan_large_documents"] = """
+WITH doc AS (
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS run_id,
+    CASE year(o_orderdate) WHEN 1992 THEN 'not_json' WHEN 1993 THEN 'list_missing' ELSE 'sound' END AS what,
+    CASE WHEN o_orderkey % 71 <> 0 THEN 'CVE-' || year(o_orderdate) || '-' || o_orderkey END AS id,
+    o_orderkey % 83 <> 0 OR o_orderkey % 89 = 0 AS due
+  FROM orders
+)
+SELECT run_id, what, what = 'sound' AS run_ok, CASE what WHEN 'sound' THEN count(*) ELSE 0 END AS n_records,
+  CASE what WHEN 'sound' THEN count(*) ELSE 0 END AS read, CASE what WHEN 'sound' THEN count(DISTINCT id) ELSE 0 END AS n_ids,
+  CASE what WHEN 'sound' THEN min(id) END AS first_id, CASE what WHEN 'sound' THEN max(id) END AS last_id,
+  CASE what WHEN 'sound' THEN count(*) FILTER (due) ELSE 0 END AS n_due
+FROM doc GROUP BY run_id, what"""
     out["scan_window_feed"] = _with(_DOCUMENT) + """
 SELECT run_id, what, count(*) AS n_documents, CAST(sum(n) AS BIGINT) AS n_records FROM answer GROUP BY 1, 2
 UNION ALL

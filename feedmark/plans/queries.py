@@ -22,7 +22,7 @@ from feedmark.operators import quality as q
 from feedmark.operators import reports as r
 from feedmark.plans import workloads as w
 from feedmark.session import configure, new_folder, stage
-from feedmark.sources import catalog, documents, rules, tables
+from feedmark.sources import catalog, documents, large_documents, rules, tables
 from feedmark.streaming import snapshots as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,22 @@ def scan_window_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(spark, path, m.IOC_FEED, F.countDistinct(F.expr("variant_get(record, '$.ioc', 'string')")))
 
 
+@query
+def scan_large_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document file for each run, cut into byte ranges: its fault and its records."""
+    envelopes, batch = large_documents.scan_files(spark, w.snapshot_files(spark, sf_dir), m.VULN_FEED)
+    name = F.expr("variant_get(record, '$.cveID', 'string')")
+    told = batch.groupBy("run_id").agg(
+        F.count("*").alias("read"),
+        F.countDistinct(name).alias("n_ids"),
+        F.min(name).alias("first_id"),
+        F.max(name).alias("last_id"),
+        F.count_if(F.expr("variant_get(record, '$.dueDate', 'string')").isNotNull()).alias("n_due"),
+    )
+    opened = envelopes.select("run_id", F.coalesce("fault", F.lit("sound")).alias("what"), "n_records", "run_ok")
+    return opened.join(told, "run_id", "left").na.fill(0, ["read", "n_ids", "n_due"])
+
+
 @query
 def scan_stix_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed(w.catalog_objects(spark, sf_dir), "catalogue-objects")

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from feedmark import model as m
 from feedmark.functions import records, values
@@ -278,6 +278,31 @@ def vuln_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of whole catalogue documents, one JSON file for each run: all its entries in one list.
+
+    That of 1992 has a comma too many, that of 1993 misspells its list, those of other runs are sound.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "snapshot-files")
+    if key in _LANDED:
+        return _LANDED[key]
+    run = F.col("run_id")
+    nth = F.row_number().over(Window.partitionBy("source", "run_id").orderBy("_order"))
+    entries = vuln_fields(spark, sf_dir).select(
+        "source", "run_id", nth.alias("n"), F.concat(F.when(nth > 1, F.lit(",")).otherwise(""), F.to_json(_vuln_json(), _KEEP_NULLS)).alias("line")
+    )
+    runs = entries.groupBy("source", "run_id").agg(F.count("*").alias("rows"))
+    name = F.when(run == "1993", F.lit("vulnerabilites")).otherwise(F.lit("vulnerabilities"))
+    head = F.concat(F.lit('{"title": "}{ of \\"'), run, F.lit('\\"", "count": '), F.col("rows"), F.lit(', "'), name, F.lit('": ['))
+    foot = F.concat(F.when(run == "1992", F.lit(",")).otherwise(""), F.lit('], "notes": [{"a": "]"}]}'))
+    ends = runs.select("source", "run_id", F.inline(F.array(F.struct(F.lit(0).alias("n"), head.alias("line")), F.struct((F.col("rows") + 1).cast("int").alias("n"), foot.alias("line")))))
+    path = new_folder(spark, "snapshot-files")
+    rows = entries.unionByName(ends).repartition("run_id").sortWithinPartitions("source", "run_id", "n").drop("n")
+    rows.write.partitionBy("source", "run_id").text(path)
+    _LANDED[key] = path
+    return path
+
+
 def window_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One answer document of a window feed per event, one run per day."""
     k = F.get_json_object("props", "$.k").cast("int")

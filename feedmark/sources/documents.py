@@ -13,6 +13,8 @@ from feedmark import model as m
 from feedmark.functions import records
 
 RATE_LIMIT = "(?i)rate|limit|throttle"
+TOO_LARGE = "too_large"
+PARSED_BYTES = 8 << 20  # a text of more than this may exceed what a VARIANT holds
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -41,14 +43,16 @@ def read_record_lines(spark: SparkSession, path: str, source: str, run_id: str)
 def open_envelopes(documents: DataFrame, spec: m.FeedSpec) -> DataFrame:
     """One row per document: envelope fault, run status and, if sound, its list of records.
 
-    A missing list key is a failed run, not an empty feed. In a window feed ``no_result`` is an
+    A missing list key is a failed run, not an empty feed. A document too large to be parsed as one row has
+    a fault of its own (``large_documents.scan_files`` reads such files). In a window feed ``no_result`` is an
     answer with zero records; any status but ``ok`` is a failure.
     """
     opened = documents.withColumn("_doc", records.parse(F.col("body")))
     doc = F.col("_doc")
     listed = records.elements(doc, spec.envelope_key)
+    large = F.coalesce(F.octet_length("body") > PARSED_BYTES, F.lit(False))
     fault = (
-        F.when(doc.isNull(), F.lit("not_json"))
+        F.when(doc.isNull(), F.when(large, F.lit(TOO_LARGE)).otherwise(F.lit("not_json")))
         .when(~records.is_object(doc) | ~records.has_key(doc, spec.envelope_key), F.lit("list_missing"))
         .when(listed.isNull(), F.lit("list_not_a_list"))
     )
@@ -56,7 +60,7 @@ def open_envelopes(documents: DataFrame, spec: m.FeedSpec) -> DataFrame:
     if spec.kind == "window":
         status = records.only_string(doc, "query_status")
         fault = (
-            F.when(doc.isNull(), F.lit("not_json"))
+            F.when(doc.isNull(), F.when(large, F.lit(TOO_LARGE)).otherwise(F.lit("not_json")))
             .when(status == "no_result", F.lit(None).cast("string"))
             .when(status.rlike(RATE_LIMIT) & (status != "ok"), F.lit("rate_limited"))
             .when(~F.coalesce(status == "ok", F.lit(False)), F.lit("not_ok"))

@@ -43,6 +43,27 @@ def test_a_good_record(spark):
     assert row["source_reference"] == m.IOC_REFERENCE and row["tags"] == ["a", "b"]
 
 
+def test_what_counts_as_not_given(spark):
+    """Zero of any number type and empty values are as good as missing; a list of a null is not."""
+    empty = [None, "", 0, 0.0, -0.0, False, [], {}]
+    told = [[None], [0], {"a": None}, 1, 0.5, True]
+    for name, fault in (("first_seen", "first_seen_illegible"), ("last_seen", "last_seen_illegible"), ("reference", "reference_not_text")):
+        assert verdicts(spark, *({name: value} for value in empty)) == [("valid", None)] * len(empty)
+        assert verdicts(spark, *({name: value} for value in told)) == [("invalid", fault)] * len(told)
+
+
+def test_zero_with_an_exponent_is_not_given(spark):
+    body = json.dumps({**GOOD, "first_seen": "@"}).replace('"@"', "0e0")
+    rows = spark.createDataFrame([("threatfox", "r1", body)], "source string, run_id string, body string")
+    found = n.normalize_ioc_feed(rows.select("source", "run_id", records.parse(F.col("body")).alias("record"))).first()
+    assert (found["verdict"], found["first_seen"]) == ("valid", None)
+
+
+def test_text_behind_a_document_makes_it_no_json(spark):
+    rows = spark.createDataFrame([("1 2",), ("{} x",), ("{},{}",), ("",), ("[1]",), (" {} ",), (None,)], "body string")
+    assert [r[0] for r in rows.select(records.parse(F.col("body")).isNotNull()).collect()] == [False, False, False, False, True, True, False]
+
+
 def test_verdict_of_each_defect(spark):
     assert verdicts(
         spark,
