@@ -152,22 +152,20 @@ def publication_gate(runs: DataFrame, watermarks: DataFrame, counts: DataFrame)
     )
 
 
+def _member(sets_computed: Column, rule: Column) -> Column:
+    """Which published set a compared row belongs to; NULL for none."""
+    now, before, was = F.col("now"), F.col("before"), F.col("before.status")
+    return F.when(
+        sets_computed & now.isNotNull(),
+        F.when(before.isNull(), F.lit(NEW)).when(was == m.FALLEN, F.lit(REAPPEARED)).otherwise(F.lit(KEPT)),
+    ).when((rule == RULE_COMPARED) & now.isNull() & (was == m.PRESENT), F.lit(FALLEN_SET))
+
+
 def diff_members(compared: DataFrame, gate: DataFrame) -> DataFrame:
     """Members of the published sets, and the kept ones, each with its attributes."""
     rules = gate.select("source", "sets_computed", F.col("rule").alias("_rule"))
     joined = join_lookup(compared, rules, ["source"], "inner")
-    now, before = F.col("now"), F.col("before")
-    was = F.col("before.status")
-    member = (
-        F.when(
-            F.col("sets_computed") & now.isNotNull(),
-            F.when(before.isNull(), F.lit(NEW))
-            .when(was == m.FALLEN, F.lit(REAPPEARED))
-            .otherwise(F.lit(KEPT)),
-        ).when(
-            (F.col("_rule") == RULE_COMPARED) & now.isNull() & (was == m.PRESENT), F.lit(FALLEN_SET)
-        )
-    )
+    member = _member(F.col("sets_computed"), F.col("_rule"))
     return (
         joined.withColumn("member", member)
         .where(F.col("member").isNotNull())
@@ -175,7 +173,7 @@ def diff_members(compared: DataFrame, gate: DataFrame) -> DataFrame:
             *KEY,
             "member",
             *(
-                F.when(now.isNotNull(), F.col(f"now.{name}"))
+                F.when(F.col("now").isNotNull(), F.col(f"now.{name}"))
                 .otherwise(F.col(f"before.{name}"))
                 .alias(name)
                 for name in _ATTRIBUTES
@@ -220,14 +218,14 @@ def advance_watermarks(watermarks: DataFrame, gate: DataFrame) -> DataFrame:
     )
 
 
-def rebuild_state(
+def next_rows(
     compared: DataFrame,
     gate: DataFrame,
     mode: str,
     run_start: Column,
     retention_days: int = m.RETENTION_DAYS,
 ) -> DataFrame:
-    """The next state, from the same comparison that gave the sets.
+    """``compared`` with ``next``, the row of the next state (NULL where none is kept), and ``member`` of the published sets.
 
     A source without rows today, not correct or not run at all is carried untouched, and what a
     partial source did observe is deferred. Elsewhere observed rows are present; unobserved
@@ -238,6 +236,8 @@ def rebuild_state(
         "source",
         ((F.col("status") == m.OK) & (F.col("n_observed") > 0)).alias("_writes"),
         (F.lit(mode == m.MODE_DIFFERENTIAL) & F.col("fallen_published")).alias("_marks"),
+        F.col("sets_computed").alias("_sets"),
+        F.col("rule").alias("_rule"),
     )
     joined = join_lookup(compared, rules, ["source"])
     writes = F.coalesce("_writes", F.lit(False))
@@ -249,15 +249,28 @@ def rebuild_state(
     )
     keep = F.when(writes, now.isNotNull() | (was == m.PRESENT) | ~expired).otherwise(was.isNotNull())
     falls = writes & marks & now.isNull() & (was == m.PRESENT)
-    return joined.where(keep).select(
-        *KEY,
+    row = F.struct(
+        F.when(observed, F.lit(m.PRESENT)).when(falls, F.lit(m.FALLEN)).otherwise(was).alias("status"),
+        F.when(observed, F.lit(None)).when(falls, run_start).otherwise(since).alias("fallen_since"),
         *(
             F.when(observed, F.col(f"now.{name}")).otherwise(F.col(f"before.{name}")).alias(name)
             for name in _ATTRIBUTES
         ),
-        F.when(observed, F.lit(m.PRESENT)).when(falls, F.lit(m.FALLEN)).otherwise(was).alias("status"),
-        F.when(observed, F.lit(None)).when(falls, run_start).otherwise(since).alias("fallen_since"),
     )
+    member = _member(F.coalesce("_sets", F.lit(False)), F.col("_rule")) if mode == m.MODE_DIFFERENTIAL else F.lit(None).cast("string")
+    return joined.select(*KEY, "now", "before", F.when(keep, row).alias("next"), member.alias("member"))
+
+
+def rebuild_state(
+    compared: DataFrame,
+    gate: DataFrame,
+    mode: str,
+    run_start: Column,
+    retention_days: int = m.RETENTION_DAYS,
+) -> DataFrame:
+    """The next state, from the same comparison that gave the sets: the rows that ``next_rows`` keeps."""
+    rows = next_rows(compared, gate, mode, run_start, retention_days).where(F.col("next").isNotNull())
+    return rows.select(*KEY, "next.*").select(*STATE_COLUMNS)
 
 
 def merge_state_sources(state: DataFrame) -> DataFrame:

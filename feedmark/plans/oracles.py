@@ -612,6 +612,22 @@ SELECT fault, count(*) AS n_rules FROM rule_checked WHERE fault IS NOT NULL GROU
     out["state_read_write"] = _with(EVENTS, _state(m.MODE_DIFFERENTIAL)) + f"""
 SELECT s.source, s.status, s.n, strftime({watermark.replace('status', 'g.status')}, '%Y-%m-%d %H:%M:%S') AS watermark
 FROM (SELECT source, status, count(*) AS n FROM state GROUP BY 1, 2) s JOIN pub g USING (source)"""
+    told = "source, status, count(*) AS n, count(fallen_since) AS n_since, strftime(max(last_seen), '%Y-%m-%d %H:%M:%S') AS last_seen"
+    out["state_change_log"] = _with(EVENTS, _state(m.MODE_DIFFERENTIAL), f"""
+pruned AS (
+  SELECT p.* FROM prior p WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.source = p.source AND s.canonical_key = p.canonical_key)
+),
+changed AS (
+  SELECT s.* FROM state s LEFT JOIN prior p ON p.source = s.source AND p.canonical_key = s.canonical_key
+  WHERE p.source IS NULL OR (p.value, p.family, p.last_seen, p.ingested_at, p.status, p.fallen_since)
+    IS DISTINCT FROM (s.value, s.family, s.last_seen, s.ingested_at, s.status, s.fallen_since)
+  UNION ALL SELECT * FROM pruned
+)
+""") + f"""
+SELECT 'before' AS version, {told} FROM prior GROUP BY source, status
+UNION ALL SELECT 'merged', {told} FROM state GROUP BY source, status
+UNION ALL SELECT 'compacted', {told} FROM state GROUP BY source, status
+UNION ALL SELECT 'written', {told} FROM changed GROUP BY source, status"""
     out["write_full_dump"] = _with(*ALL_ENRICHED) + """
 SELECT source, type, count(*) AS n, count(DISTINCT id) AS n_ids, CAST(sum(n_techniques) AS BIGINT) AS n_techniques,
   count(DISTINCT raw) AS n_raw, min(raw) AS first_raw, max(raw) AS last_raw

@@ -22,7 +22,7 @@ from feedmark.operators import quality as q
 from feedmark.operators import reports as r
 from feedmark.plans import workloads as w
 from feedmark.session import configure, new_folder, stage
-from feedmark.sources import catalog, documents, large_documents, rules, tables
+from feedmark.sources import catalog, documents, large_documents, rules, state_log, tables
 from feedmark.streaming import snapshots as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,6 +182,26 @@ def state_read_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def state_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run is added to the log as its changes, then folded into a new base; every version, read back."""
+    log = state_log.StateLog(spark, new_folder(spark, "state-log"), buckets=16)
+    observed, prior, gate, marks = _today(spark, sf_dir)
+    log.begin("run-1", 1, prior, marks, datetime(2024, 1, 1))
+    changed = stage(state_log.changes(state_log.compare(observed, log.load()), gate, m.MODE_DIFFERENTIAL, w.run_start()), "changes")
+    log.commit("run-2", 2, changed, d.advance_watermarks(marks, gate), datetime(2024, 1, 1))
+    merged = stage(log.load().indicators, "merged")
+    log.compact()
+    versions = {"before": log.load(before=2).indicators, "merged": merged, "compacted": log.load().indicators}
+    counted = [
+        rows.groupBy("source", "status").agg(F.count("*").alias("n"), F.count("fallen_since").alias("n_since"), F.max("last_seen").alias("last_seen"))
+        .select(F.lit(name).alias("version"), "source", "status", "n", "n_since", _time("last_seen"))
+        for name, rows in versions.items()
+    ]
+    written = changed.where("differs").groupBy("source", "status").agg(F.count("*").alias("n"), F.count("fallen_since").alias("n_since"), F.max("last_seen").alias("last_seen"))
+    return q.union_all([*counted, written.select(F.lit("written").alias("version"), "source", "status", "n", "n_since", _time("last_seen"))])
+
+
 @query
 def write_full_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "enriched-dump")
