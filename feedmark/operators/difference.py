@@ -47,7 +47,7 @@ RULE_COMPARED = "compared"
 
 
 def observed_rows(observations: DataFrame) -> DataFrame:
-    """State columns of valid observations; the family is its id, else its display name."""
+    """State columns of valid observations with ``ingested_at``; the family is its id, else its display name."""
     return observations.select(
         "source",
         "canonical_key",

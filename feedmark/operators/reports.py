@@ -170,6 +170,15 @@ def census_by_source(observations: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
+def census_families(
+    observations: DataFrame, runs: DataFrame, family_feed: str = m.IOC_FEED.name, family: str = "family_id"
+) -> DataFrame:
+    """One row: families that the family feed observed; NULL unless its panorama may be published."""
+    named = observations.where((F.col("source") == family_feed) & values.has_text(F.col(family)))
+    shown = panorama_publishable(runs, family_feed).scalar()
+    return named.select(family).distinct().agg(F.count("*").alias("n")).select(F.when(shown, F.col("n")).alias("n_families"))
+
+
 def count_by_type(observations: DataFrame) -> DataFrame:
     return observations.groupBy("type").agg(F.count("*").alias("n_observations"))
 

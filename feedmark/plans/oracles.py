@@ -849,6 +849,46 @@ FROM per_run""".lstrip("\n")
     out["census_by_source"] = _with(EVENTS) + """
 SELECT source, status = 'correcta' AS included, CASE WHEN status = 'correcta' THEN n END AS n_observations
 FROM run JOIN (SELECT source, count(*) AS n FROM ev GROUP BY source) USING (source)"""
+    out["census_families"] = _with(EVENTS) + """
+SELECT feed AS family_feed, CASE WHEN feed = 'click-0' THEN (SELECT count(DISTINCT family) FROM ev WHERE source = feed AND family <> '') END AS n_families
+FROM (VALUES ('click-0'), ('error-0'), ('error-2')) f(feed)"""
+    sound = VULN.replace("WHERE fault IS NULL", "")
+    out["full_run"] = _with(IOC, sound, RULES, VULN_ENRICHED) + """
+, kev AS (
+  SELECT v.*, e.technique_id, e.reason, v.added BETWEEN DATE '1998-06-02' AND DATE '1998-06-15' AS is_new
+  FROM vuln v JOIN vuln_enriched e USING (value)
+),
+run AS (SELECT * FROM (VALUES ('run-1', DATE '1998-06-01', 'linea_base', 1), ('run-2', DATE '1998-06-15', 'diferencial', 2)) r(run, today, mode, number)),
+held AS (
+  SELECT r.run, r.number, r.today, k.*,
+    CASE WHEN due IS NULL THEN 2 WHEN due >= today THEN 0 ELSE 1 END AS band, coalesce(abs(due - today), 0) AS days,
+    coalesce(due BETWEEN today AND today + 7, false) AS soon
+  FROM run r JOIN kev k ON r.number = 2 OR NOT k.is_new
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY band, days, ransomware <> 'Known', value) AS pos FROM held),
+ioc_valid AS (SELECT count(*) AS n FROM ioc_ok),
+techniques AS (
+  SELECT technique_id, count(*) AS n FROM kev WHERE is_new AND technique_id IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10
+)
+SELECT run, 'mode' AS part, mode AS detail, number::BIGINT AS n FROM run
+UNION ALL SELECT run, 'status', 'cisa-kev:correcta', count(*) FROM held GROUP BY run
+UNION ALL SELECT run, 'status', 'threatfox:parcial', (SELECT n FROM ioc_valid) FROM run
+UNION ALL SELECT run, 'new', 'cisa-kev', CASE number WHEN 2 THEN (SELECT count(*) FROM kev WHERE is_new) ELSE 0 END FROM run
+UNION ALL SELECT run, 'new', 'threatfox', 0 FROM run
+UNION ALL SELECT run, 'fallen', 'cisa-kev', CASE number WHEN 2 THEN 0 END FROM run
+UNION ALL SELECT run, 'fallen', 'threatfox', NULL FROM run
+UNION ALL SELECT run, 'state', 'cisa-kev:presente', count(*) FROM held GROUP BY run
+UNION ALL SELECT 'run-1', 'inferred', 'baseline_mode', NULL
+UNION ALL SELECT 'run-2', 'inferred', technique_id, n FROM techniques
+UNION ALL SELECT run, 'census', 'cisa-kev', count(*) FROM held GROUP BY run
+UNION ALL SELECT run, 'census', 'threatfox', NULL FROM run
+UNION ALL SELECT run, 'families', NULL, NULL FROM run
+UNION ALL SELECT run, 'due_soon', NULL, count(*) FILTER (soon) FROM held GROUP BY run
+UNION ALL SELECT run, 'illegible_due', NULL, count(*) FILTER (due_date = 'n/a') FROM held GROUP BY run
+UNION ALL SELECT run, 'vuln_section', NULL, count(*) FILTER (CASE number WHEN 2 THEN is_new OR soon ELSE pos <= 20 OR soon END) FROM ranked GROUP BY run
+UNION ALL SELECT run, 'work_queue', NULL, CASE WHEN any_value(number) = 2 THEN count(*) FILTER (is_new AND reason = 'producto_sin_clasificar')
+  ELSE least(20, count(*) FILTER (reason = 'producto_sin_clasificar')) END FROM held GROUP BY run
+UNION ALL SELECT run, 'work_queue_total', NULL, count(*) FILTER (reason = 'producto_sin_clasificar') FROM held GROUP BY run""".lstrip("\n")
     out["count_by_type"] = _with(IOC, VULN) + """
 SELECT type, count(*) AS n_observations FROM (SELECT type FROM ioc_ok UNION ALL SELECT type FROM vuln) GROUP BY type"""
     out["family_variation"] = _with(EVENTS, VARIATION) + "SELECT family, delta FROM variation"

@@ -20,6 +20,7 @@ from feedmark.operators import families as fam
 from feedmark.operators import normalize as n
 from feedmark.operators import quality as q
 from feedmark.operators import reports as r
+from feedmark.operators import run
 from feedmark.plans import workloads as w
 from feedmark.session import configure, new_folder, stage
 from feedmark.sources import catalog, documents, large_documents, rules, state_log, tables
@@ -30,13 +31,13 @@ _REGISTERED: dict[str, Query] = {}
 
 
 def query(job: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def registered_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         return job(configure(spark), sf_dir)
 
-    run.__name__ = job.__name__
-    run.__doc__ = job.__doc__
-    _REGISTERED[job.__name__] = run
-    return run
+    registered_job.__name__ = job.__name__
+    registered_job.__doc__ = job.__doc__
+    _REGISTERED[job.__name__] = registered_job
+    return registered_job
 
 
 def registered() -> dict[str, Query]:
@@ -639,10 +640,30 @@ def technique_frequency_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.technique_frequency_top(techniques, mapping)
 
 
+_PERIODS: dict[tuple[str, str], run.Applied] = {}
+
+
+def _period(spark: SparkSession, sf_dir: str) -> run.Applied:
+    """The second of two runs of the vulnerability feed against the retained state; between them the entries of
+    two weeks joined it. Applied once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PERIODS:
+        store = state_log.StateLog(spark, new_folder(spark, "period-state"), buckets=16)
+        valid = w.vuln_observations(spark, sf_dir)
+        earlier = valid.where(~F.coalesce(w.in_period(F.col("_added")), F.lit(False)))
+        for sequence, (started, rows) in enumerate(((_FIRST_RUN, earlier), (_SECOND_RUN, valid)), 1):
+            runs = st.all_correct(rows, started)
+            applied = run.apply_run(store, f"run-{sequence}", sequence, started, rows.select(*n.OBSERVATION_COLUMNS), runs)
+        _PERIODS[key] = applied
+    return _PERIODS[key]
+
+
+_FIRST_RUN, _SECOND_RUN = datetime(1998, 6, 1), datetime(1998, 6, 15)
+
+
 def _new_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the entries added in the two weeks up to the as-of date."""
-    period = F.col("_added").between(F.date_sub(w.today(), 13), w.today())
-    return w.vuln_observations(spark, sf_dir).where(period).select("canonical_key").distinct()
+    """Keys that the second run found new."""
+    return _period(spark, sf_dir).new_keys().select("canonical_key")
 
 
 @query
@@ -685,6 +706,54 @@ def census_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.census_by_source(*_event_observations(spark, sf_dir))
 
 
+@query
+def census_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Families by feed that names them: published for a correct one, NULL for a partial one."""
+    events, runs = _event_observations(spark, sf_dir)
+    return q.union_all(
+        [
+            r.census_families(events, runs, feed, "family").select(F.lit(feed).alias("family_feed"), "n_families")
+            for feed in ("click-0", "error-0", "error-2")
+        ]
+    )
+
+
+@query
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds from raw records to the report, twice: a baseline, then what two weeks changed."""
+    store = state_log.StateLog(spark, new_folder(spark, "run-state"), buckets=16)
+    ioc = w.ioc_batch(spark, sf_dir)
+    parts = []
+    for number, started in enumerate((_FIRST_RUN, _SECOND_RUN), 1):
+        name = f"run-{number}"
+        feeds = [
+            run.Feed(m.VULN_FEED, n.normalize_vuln_feed, w.chain_records(spark, sf_dir, name, number == 2)),
+            run.Feed(m.IOC_FEED, n.normalize_ioc_feed, ioc.withColumn("run_id", F.lit(name))),
+        ]
+        facts = spark.createDataFrame(
+            [(feed.spec.name, name, "P20D/now", started, None, 200, 0) for feed in feeds],
+            "source string, run_id string, declared_window string, attempt_time timestamp, failure_reason string, http_code int, retries int",
+        )
+        applied, marts = run.full_run(store, name, number, started, feeds, facts, _rules(spark, sf_dir), _mapped(spark, sf_dir)[0])
+        told = lambda part, rows, detail, n: rows.select(F.lit(part).alias("part"), detail.cast("string").alias("detail"), n.cast("bigint").alias("n"))
+        count = lambda part, rows: told(part, rows.agg(F.count("*").alias("n")), F.lit(None), F.col("n"))
+        state = applied.version.indicators.groupBy("source", "status").agg(F.count("*").alias("n"))
+        tables_ = [
+            told("mode", marts["source_runs"].limit(1), F.lit(applied.mode), F.lit(number)),
+            told("status", marts["source_runs"], F.concat_ws(":", "source", "status"), F.col("records")),
+            told("new", marts["diff_sources"], F.col("source"), F.col("n_new")),
+            told("fallen", marts["diff_sources"], F.col("source"), F.col("n_fallen")),
+            told("state", state, F.concat_ws(":", "source", "status"), F.col("n")),
+            told("inferred", marts["inferred_frequency"], F.coalesce("technique_id", "reason"), F.col("n_entries")),
+            told("census", marts["census"], F.col("source"), F.col("n_observations")),
+            told("families", marts["families"], F.lit(None), F.col("n_families")),
+            *(count(part, marts[part]) for part in ("due_soon", "illegible_due", "vuln_section", "work_queue")),
+            told("work_queue_total", marts["work_queue_total"], F.lit(None), F.col("total")),
+        ]
+        parts.append(stage(q.union_all(tables_).withColumn("run", F.lit(name)), "run-parts"))
+    return q.union_all(parts)
+
+
 @query
 def count_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.count_by_type(w.observations(spark, sf_dir))
@@ -728,13 +797,18 @@ def source_status_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.source_status_table(status.join(evaluated, ["source", "run_id"]), coverage)
 
 
+def _state_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the state holds of the feed; a run that brought nothing would leave it as it is."""
+    return run.state_entries(_period(spark, sf_dir).version)
+
+
 def _due_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.entries(w.vuln_observations(spark, sf_dir))
 
 
 @query
 def judgement_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    soon = r.due_soon(_due_entries(spark, sf_dir), w.today())
+    soon = r.due_soon(_state_entries(spark, sf_dir), w.today())
     feed_status = q.batch_status(q.batch_counts(w.normalized_ioc(spark, sf_dir)))
     return r.judgement_counts(soon, _mapped(spark, sf_dir)[0], _diff_sources(spark, sf_dir), feed_status)
 
@@ -905,7 +979,7 @@ def unpublished_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def due_soon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.due_soon(_due_entries(spark, sf_dir), w.today()).select("value", "due_date", "ransomware")
+    return r.due_soon(_state_entries(spark, sf_dir), w.today()).select("value", "due_date", "ransomware")
 
 
 @query
@@ -920,14 +994,13 @@ def decision_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vuln_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = q.batch_counts(w.vuln_observations(spark, sf_dir))
-    return runs.groupBy("source").agg(F.lit(False).alias("in_baseline"))
+    return _period(spark, sf_dir).gate
 
 
 @query
 def vuln_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The differential section and the baseline section, told apart by ``mode``."""
-    entries = _due_entries(spark, sf_dir)
+    entries = _state_entries(spark, sf_dir)
     gate = _vuln_gate(spark, sf_dir)
     diff = r.vuln_section_differential(entries, _new_entries(spark, sf_dir), gate, w.today())
     head = r.vuln_section_baseline(entries, w.today())

@@ -278,6 +278,26 @@ def vuln_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chain_records(spark: SparkSession, sf_dir: str, run: str, with_period: bool) -> DataFrame:
+    """All entries as a feed without a damaged record; ``with_period`` adds those of the two weeks up to the as-of date."""
+    rows = vuln_fields(spark, sf_dir)
+    rows = rows.withColumns(
+        {
+            "cveID": F.coalesce("cveID", _text("CVE-", F.col("run_id"), "-", F.col("_order"))),
+            "dateAdded": F.date_format("_added", "yyyy-MM-dd"),
+            "vulnerabilityName": F.coalesce("vulnerabilityName", F.lit("Flaw")),
+        }
+    )
+    if not with_period:
+        rows = rows.where(~in_period(F.col("_added")))
+    return _parsed(rows.select("source", F.lit(run).alias("run_id"), F.to_json(_vuln_json(), _KEEP_NULLS).alias("body")))
+
+
+def in_period(added: Column) -> Column:
+    """Added in the two weeks up to the as-of date, between the two runs of the chain."""
+    return added.between(F.date_sub(today(), 13), today())
+
+
 def snapshot_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder of whole catalogue documents, one JSON file for each run: all its entries in one list.
 
