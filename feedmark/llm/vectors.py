@@ -19,7 +19,9 @@ PER_LIST = 256  # vectors in a list, on average
 MOST_LISTS = 1024
 PARTS = 8  # subspaces
 WORDS = 256  # code words of a subspace
-RECALL = 0.995  # of neighbours at the threshold whose list one side probes, by simulation
+RECALL = 0.998  # of the pairs of held-out vectors that one side's probes meet
+HELD = 1024  # vectors compared exactly with all others to set the probes
+ENOUGH, BINS = 500, 200
 MEMBERS, QUERIES = 1024, 4096  # of a list in one task
 
 
@@ -47,45 +49,94 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Quantiser:
-    """Coarse centres, code words of the residuals' parts, and how many lists a query probes."""
+    """Coarse centres, code words of the residuals' parts, and how far beyond its own list a query probes.
+
+    A vector lies on its own side of the plane half way between its list's centre and another one. Two vectors
+    in different lists lie on the two sides of such a plane, so the nearer one to it is at most half
+    their distance from it: with ``width`` half the distance at the threshold one of the two probes the other's list, surely.
+    """
 
     dim: int
     centres: np.ndarray
     words: list[np.ndarray]
-    probes: int
+    width: float
 
     def parts(self, x: np.ndarray) -> list[np.ndarray]:
         return np.array_split(x, len(self.words), axis=1)
 
-    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probed lists, the own one first; codes of the residual; its distance from what the codes say."""
+    def beyond(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Own list of each vector, and its distance from the plane towards each other list (0 for the own one)."""
         far = (self.centres**2).sum(axis=1)[None] - 2 * x @ self.centres.T
-        probed = np.argsort(far, axis=1, kind="stable")[:, : self.probes]
-        rest = x - self.centres[probed[:, 0]]
-        codes = np.stack([_nearest(p, w) for p, w in zip(self.parts(rest), self.words)], axis=1).astype(np.uint8)
-        told = np.concatenate([w[codes[:, j]] for j, w in enumerate(self.words)], axis=1)
-        return probed.astype(np.int32), codes, np.linalg.norm(rest - told, axis=1)
-
-
-def learn(x: np.ndarray, lists: int, cosine: float, recall: float = RECALL, seed: int = 1) -> Quantiser:
-    """From unit vectors. Probes enough lists to meet a vector at the threshold in a random direction."""
+        own = far.argmin(axis=1)
+        square = (self.centres**2).sum(axis=1)
+        gaps = np.maximum(square[own][:, None] + square[None] - 2 * self.centres[own] @ self.centres.T, 1e-18)
+        far -= far[np.arange(len(x)), own][:, None]
+        return own, far / (2 * np.sqrt(gaps))
+
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Probed lists one after the other, each vector's own one first, and how many each has; codes of the
+        residual; its distance from what the codes say."""
+        lists, counts, codes, errors = [], [], [], []
+        for low in range(0, len(x), 2048):
+            part = x[low : low + 2048]
+            own, beyond = self.beyond(part)
+            beyond[np.arange(len(part)), own] = -1
+            order = np.argsort(beyond, axis=1, kind="stable")
+            many = (beyond <= self.width + 1e-9).sum(axis=1)
+            lists.append(order[np.arange(order.shape[1])[None] < many[:, None]].astype(np.int32))
+            counts.append(many)
+            rest = part - self.centres[own]
+            code = np.stack([_nearest(p, w) for p, w in zip(self.parts(rest), self.words)], axis=1).astype(np.uint8)
+            told = np.concatenate([w[code[:, j]] for j, w in enumerate(self.words)], axis=1)
+            codes.append(code)
+            errors.append(np.linalg.norm(rest - told, axis=1))
+        return tuple(np.concatenate(a) for a in (lists, counts, codes, errors))
+
+
+def learn(x: np.ndarray, lists: int, cosine: float, seed: int = 1) -> Quantiser:
+    """From unit vectors; probes as far as no pair can be missed."""
     rng = np.random.default_rng(seed)
     centres = _means(x, lists, rng)
     rest = x - centres[_nearest(x, centres)]
     words = [_means(p, WORDS, rng) for p in np.array_split(rest, min(PARTS, x.shape[1]), axis=1)]
-    if x.shape[1] > 1:
-        aside = rng.normal(size=x.shape)
-        aside -= (aside * x).sum(axis=1, keepdims=True) * x
-        aside /= np.maximum(np.linalg.norm(aside, axis=1, keepdims=True), 1e-12)
-        y = cosine * x + math.sqrt(1 - cosine**2) * aside
-    else:
-        y = x
-    far = (centres**2).sum(axis=1)[None] - 2 * x @ centres.T
-    rank = (far < np.take_along_axis(far, _nearest(y, centres)[:, None], axis=1)).sum(axis=1)
-    # a pair is met if either side probes the other's list, so one side may miss the root of what both may
-    wanted = 1 - math.sqrt(1 - recall)
-    probes = int(np.quantile(rank, wanted, method="higher")) + 1
-    return Quantiser(x.shape[1], centres, words, min(len(centres), probes))
+    return Quantiser(x.shape[1], centres, words, math.sqrt(2 - 2 * cosine) / 2)
+
+
+def _calibrated(reps: DataFrame, quantiser: Quantiser, held: np.ndarray, cosine: float, recall: float) -> float:
+    """The width that finds ``recall`` of the pairs that the held-out vectors have with all vectors, compared exactly.
+
+    One pass over all vectors; what comes back is a count for each of BINS widths. With fewer than
+    ENOUGH pairs to go by, the width with which none is missed.
+    """
+    most = quantiser.width
+
+    def run(batches):
+        own, beyond = quantiser.beyond(held)
+        for batch in batches:
+            vectors = batch.column("embedding")
+            some = np.flatnonzero(np.diff(vectors.offsets.to_numpy()) == quantiser.dim)
+            if not len(some):
+                continue
+            x = unit(_matrix(batch.take(pa.array(some)).column("embedding"), quantiser.dim))
+            for low in range(0, len(x), 1024):
+                part = x[low : low + 1024]
+                near = part @ held.T
+                i, j = np.nonzero((near >= cosine) & (near < 1 - 1e-12))
+                mine, others = quantiser.beyond(part)
+                least = np.minimum(others[i, own[j]], beyond[j, mine[i]])
+                bins = np.clip(np.ceil(least / most * BINS), 0, BINS).astype(np.int64)
+                sizes = np.bincount(bins, minlength=BINS + 1)
+                yield pa.RecordBatch.from_pydict({"bin": pa.array(np.flatnonzero(sizes)), "n": pa.array(sizes[sizes > 0].astype(np.int64))})
+
+    counts = reps.select("embedding").mapInArrow(run, "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin").collect()
+    total, seen = sum(r["n"] for r in counts), 0
+    if total < ENOUGH:
+        return most
+    for r in counts:
+        seen += r["n"]
+        if seen >= recall * total:
+            return most * min(r["bin"] + 1, BINS) / BINS
+    return most
 
 
 def usable(column: str = "embedding") -> Column:
@@ -112,15 +163,16 @@ def _assigned(reps: DataFrame, quantiser: Quantiser) -> DataFrame:
                 rows = batch.take(some)
                 raw = _matrix(rows.column("embedding"), dim)
                 if dim == quantiser.dim:
-                    probed, codes, error = quantiser.assign(unit(raw))
+                    probed, counts, codes, error = quantiser.assign(unit(raw))
                 else:
-                    probed, codes, error = np.full((len(raw), 1), -dim, np.int32), np.zeros((len(raw), 0), np.uint8), np.zeros(len(raw))
+                    probed, counts = np.full(len(raw), -dim, np.int32), np.ones(len(raw), np.int64)
+                    codes, error = np.zeros((len(raw), 0), np.uint8), np.zeros(len(raw))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "rep": rows.column("rep"),
                         "copies": rows.column("copies"),
                         "embedding": rows.column("embedding"),
-                        "probed": pa.array(list(probed), pa.list_(pa.int32())),
+                        "probed": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(probed)),
                         "codes": pa.array([c.tobytes() for c in codes], pa.binary()),
                         "error": pa.array(error, pa.float64()),
                     }
@@ -145,7 +197,10 @@ def _block(quantiser: Quantiser, cosine: float):
             return pd.DataFrame({"rep": [], "links": [], "root": []})
         x, y = unit(np.stack(q.embedding)), unit(np.stack(m.embedding))
         qrep, mrep = q.rep.to_numpy(), m.rep.to_numpy()
-        qown, mprobed = np.array([p[0] for p in q.probed]), np.stack(m.probed)
+        qown = np.array([p[0] for p in q.probed])
+        probes = np.zeros((len(m), max(len(quantiser.centres), 1)), dtype=bool)  # does a member probe a list
+        for n, lists in enumerate(m.probed if here >= 0 else ()):
+            probes[n, lists] = True
         qcopies, mcopies = q.copies.to_numpy(), m.copies.to_numpy()
         codes = np.stack([np.frombuffer(c, np.uint8) for c in m.codes])
         error = m.error.to_numpy() + reach + 1e-9
@@ -168,7 +223,7 @@ def _block(quantiser: Quantiser, cosine: float):
         i, j = (np.concatenate(a) for a in zip(*found))
         if not len(i):
             return pd.DataFrame({"rep": [], "links": [], "root": []})
-        both = (mprobed[j] == qown[i][:, None]).any(axis=1)
+        both = probes[j, qown[i]] if here >= 0 else np.ones(len(i), dtype=bool)
         nodes, place = np.unique(np.concatenate([qrep[i], mrep[j]]), return_inverse=True)
         a, b = place[: len(i)], place[len(i) :]
         links = np.bincount(a, mcopies[j], minlength=len(nodes)) + np.bincount(b, np.where(both, 0, qcopies[i]), minlength=len(nodes))
@@ -187,14 +242,17 @@ def _block(quantiser: Quantiser, cosine: float):
     return run
 
 
-def near_vectors(embeddings: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def near_vectors(
+    embeddings: DataFrame, cosine: float = COSINE, sample: int = SAMPLE, recall: float = RECALL, per_list: int = PER_LIST
+) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of ``embeddings`` (vec_id, embedding; other columns are ignored).
 
     Equal vectors are folded first; their copies count as linked to each other and to what one of
     them is linked to. Codebooks are learned from at most ``sample`` distinct vectors chosen by a
     hash; all vectors are indexed and all are queries. Lookups keep every vector within the
     threshold plus its own coding error, so only an unprobed list can hide a pair; found pairs are
-    checked by the cosine in double precision. Vectors of another length than the most frequent one
+    checked by the cosine in double precision. How far a query probes is set by the pairs that ``HELD`` vectors have
+    with all others, so that ``recall`` of them are met; with ``recall`` above 1, or few pairs, so far that none can be missed. Vectors of another length than the most frequent one
     are compared among their own, all with all in blocks.
 
     Null, empty and zero vectors and those with null or non-finite components link with nothing. A
@@ -212,7 +270,9 @@ def near_vectors(embeddings: DataFrame, cosine: float = COSINE, sample: int = SA
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     of_dim = reps.where(F.size("embedding") == dims["dim"]).orderBy(F.xxhash64("rep")).limit(sample)
     learned = unit(np.array([r[0] for r in of_dim.select("embedding").collect()]))  # ``sample`` rows at most
-    quantiser = learn(learned, min(MOST_LISTS, math.ceil(n / PER_LIST)), cosine, recall)
+    quantiser = learn(learned, min(MOST_LISTS, math.ceil(n / per_list)), cosine)
+    if recall <= 1:
+        quantiser.width = _calibrated(reps, quantiser, learned[:HELD], cosine, recall)
     assigned = stage(_assigned(reps, quantiser), "assigned-vectors")
 
     own, probed = F.col("probed")[0], F.explode("probed").alias("list")

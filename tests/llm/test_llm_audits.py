@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from feedmark.llm import divergence, merkle, pieces
+from feedmark.llm import divergence, merkle, pieces, vectors
 from test_llm_operators import LONG, ROWS, rows_of, whole
 
 CLASHES = "node string, path int, place int, count int, root string, tree int, leaf int, member int, value int, rank int, term string, `row` int, its_tree int"
@@ -255,3 +255,24 @@ def test_models_that_rewrite_text_are_refused(tmp_path):
     changed.write_bytes(data + b"\x1a\x05\x12\x03abc")  # a later normalizer message with a character map
     with pytest.raises(ValueError):
         pieces.Model(str(changed))
+
+
+def correlated(inner, n, seed=0):
+    """Unit vectors of 64 components that vary in ``inner`` directions, some drawn towards others."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, inner))
+    near = rng.random(n) < 0.1
+    x[near] = x[rng.integers(0, n, near.sum())] + 0.25 * rng.normal(size=(near.sum(), inner))
+    return vectors.unit(x @ rng.normal(size=(inner, 64)))
+
+
+@pytest.mark.parametrize("inner, recall, least", [(6, vectors.RECALL, 0.99), (10, vectors.RECALL, 0.99), (10, 2.0, 1.0), (64, vectors.RECALL, 0.99)])
+def test_a_thousand_lists_miss_few_links_of_correlated_vectors(spark, inner, recall, least):
+    n = 12_000 if inner > 6 else 6_000
+    x = correlated(inner, n)
+    want = np.concatenate([((x[a : a + 1000] @ x.T) >= 0.9).sum(axis=1) - 1 for a in range(0, n, 1000)])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>").repartition(4)
+    found = {r["vec_id"]: r["n_links"] for r in vectors.near_vectors(rows, recall=recall, per_list=n // 1000).collect()}
+    got = np.array([found[i] for i in range(n)])
+    assert (got <= want).all() and want.sum() > 1000
+    assert got.sum() >= least * want.sum(), got.sum() / want.sum()
