@@ -568,4 +568,5 @@ def removed(docs: DataFrame, length: int = LENGTH, seed: int = SEED, keep_text:
 
 
 def query(spark, sf_dir):
-    return removed(table(spark, sf_dir, "documents"))
+    """The digests of what stays, and whether the text repeats anything."""
+    return removed(table(spark, sf_dir, "documents")).withColumn("repeats", F.col("n_removed") > 0)
