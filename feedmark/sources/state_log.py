@@ -15,7 +15,6 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from feedmark import model as m
@@ -101,7 +100,9 @@ class StateLog:
         return self.spark.read.schema(COMMITS).parquet(f"{self.root}/commits")
 
     def load(self, before: int | None = None) -> Version:
-        """The last version, or the last one before a sequence number."""
+        """The last version, or the last one before a sequence number. Only a missing folder is an absent state."""
+        if not exists(self.spark, f"{self.root}/commits"):
+            return Version("absent")
         try:
             rows = self._commits()
             if before is not None:
@@ -117,16 +118,14 @@ class StateLog:
             marks = marks.where(F.col("sequence") == last["sequence"]).drop("sequence")
             outcome = "no_watermark" if marks.isEmpty() else "ok"
         except UNREADABLE as fault:
-            missing = isinstance(fault, AnalysisException) and fault.getCondition() == "PATH_NOT_FOUND"
-            return Version("absent") if missing else Version("illegible", error=str(fault))
+            return Version("illegible", error=str(fault))
         return Version(outcome, base, changed, marks, last["baseline_instant"], last["run_id"], last["sequence"])
 
     def _changes(self, after: int, upto: int) -> DataFrame:
         """Change sets of committed runs; a folder without its commit is one of a run that did not end."""
-        try:
-            every = self.spark.read.schema(CHANGES).parquet(f"{self.root}/changes")
-        except AnalysisException:
+        if not exists(self.spark, f"{self.root}/changes"):
             return self.spark.createDataFrame([], CHANGES)
+        every = self.spark.read.schema(CHANGES).parquet(f"{self.root}/changes")
         runs = self._commits().where((F.col("sequence") > after) & (F.col("sequence") <= upto)).select("sequence")
         numbers = [r[0] for r in runs.distinct().collect()]  # of the runs since the base; they prune the folders
         return every.where(F.col("sequence").isin(numbers)) if numbers else every.where(F.lit(False))
@@ -208,7 +207,19 @@ class StateLog:
         return folders
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    """Through Hadoop's file system, which knows the store; a folder that is not there is no error."""
+def _place(spark: SparkSession, folder: str):
+    """Hadoop's file system, which knows the store, and the path."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Asked before reading: a read that fails is logged with its stack trace, though nothing is wrong."""
+    store, path = _place(spark, folder)
+    return store.exists(path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """A folder that is not there is no error."""
+    store, path = _place(spark, folder)
+    store.delete(path, True)
