@@ -13,14 +13,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmark.llm.common import table, whole_text
 from feedmark.llm.tokens import slices, spread
+from feedmark.session import stage
 
 BUCKETS = 1 << 30  # of the term hash: so many that rare words do not fall on telling ones
-TERMS = 4096  # that the machine may use
+TERMS = 4096  # telling alone that the machine may use
+PAIRED = 2048  # terms, those that most sampled documents hold, whose pairs are looked at
 SAMPLE = 20_000  # labelled documents it learns from at most
 FACTORS = 8
 STEM = 5  # letters; inflected words also count by their beginning
-LEAST = 3  # sampled documents that hold a term, or it is not used
-STRENGTH = 2.0  # standard deviations between a term's toxic documents and chance, at least
+LEAST = 3  # sampled documents that hold a term, or it is not used: what fewer hold cannot be told from chance
+STRENGTH = 2.0  # standard deviations between a term's toxic documents and chance, at least, to be telling alone
+BEYOND = 8.0  # and between a pair's toxic documents and what its terms let expect; there are two million pairs, and copies among texts
+APART = 0.2  # by so much the share of a pair's toxic documents differs from what is expected, at least
 FOLDS = 5
 SLICE = 4 << 20  # bytes of text looked at together
 _WORDS = re.compile(r"\w+")
@@ -70,6 +74,17 @@ class Machine:
         squares = np.bincount(rows, (self.factors**2).sum(axis=1)[terms], minlength=n)
         return self.bias + linear + 0.5 * ((sums**2).sum(axis=1) - squares)
 
+    def gradients(self, rows: np.ndarray, terms: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Of the weighted log loss by weights, factors and bias, documents as for ``raw``."""
+        raw = self.raw(len(labels), rows, terms)
+        error = weight * (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels)
+        v = self.factors[terms]
+        sums = np.zeros((len(labels), self.factors.shape[1]))
+        np.add.at(sums, rows, v)
+        by_factor = np.zeros_like(self.factors)
+        np.add.at(by_factor, terms, error[rows][:, None] * (sums[rows] - v))
+        return np.bincount(terms, error[rows], minlength=len(self.weights)), by_factor, error.sum()
+
     def known(self, rows: np.ndarray, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place = np.minimum(np.searchsorted(self.buckets, buckets), max(0, len(self.buckets) - 1))
         held = self.buckets[place] == buckets if len(self.buckets) else np.zeros(len(buckets), dtype=bool)
@@ -80,45 +95,73 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
 
 
-def fit(labels: np.ndarray, rows: np.ndarray, buckets: np.ndarray, epochs: int = 30, rate: float = 0.2, decay: float = 1e-5, seed: int = 1) -> Machine:
-    """From labels 0 and 1 and the documents' terms. Uses the terms whose share differs most between the two."""
+def telling_pairs(labels: np.ndarray, starts: np.ndarray, terms: np.ndarray, width: int) -> np.ndarray:
+    """Whether each of ``width`` terms belongs to a pair that is toxic more or less often than its terms let expect.
+
+    Expected is anything between the two terms' shares, as of terms that always stand together, and their product over the
+    share of all, as of independent ones. So a term that is neutral alone counts when it matters beside another one.
+    """
+    both, toxic = np.zeros((2, width, width), dtype=np.float32)
+    for low in range(0, len(labels), 1024):
+        some = np.arange(low, min(low + 1024, len(labels)))
+        held = np.zeros((len(some), width), dtype=np.float32)
+        held[members(starts, terms, some)] = 1
+        both += held.T @ held
+        bad = held[labels[some] == 1]
+        toxic += bad.T @ bad
+    share = labels.mean()
+    of = np.diag(toxic) / np.maximum(np.diag(both), 1)
+    found = np.zeros(width, dtype=bool)
+    for i in range(width):
+        product = np.clip(of[i] * of / share, share / 20, 1 - (1 - share) / 20)
+        rate = toxic[i] / np.maximum(both[i], 1)
+        expected = np.clip(rate, np.minimum(np.minimum(of[i], of), product), np.maximum(np.maximum(of[i], of), product))
+        apart = (np.abs(rate - expected) >= APART) & (both[i] > 0)
+        apart[i] = False
+        gap = np.abs(rate - expected) * both[i] / np.sqrt(both[i] * expected * (1 - expected) + 1)
+        found[i] = (gap[apart] >= BEYOND).any()
+    return found
+
+
+def fit(labels: np.ndarray, starts: np.ndarray, terms: np.ndarray, buckets: np.ndarray, strong: np.ndarray, common: np.ndarray) -> Machine:
+    """The machine over the ``strong`` buckets and those of the ``common`` ones that tell in pairs.
+
+    Document i holds the places ``terms[starts[i]:starts[i + 1]]`` of ``buckets``, which ascend.
+    """
+    chosen = np.isin(buckets, strong)
+    if 0 < labels.sum() < len(labels):
+        places = np.searchsorted(buckets, common)
+        chosen[places[telling_pairs(labels, *_only(starts, terms, places, len(buckets)), len(places))]] = True
+    places = np.flatnonzero(chosen)
+    return learn(labels, *_only(starts, terms, places, len(buckets)), buckets[places])
+
+
+def _only(starts: np.ndarray, terms: np.ndarray, places: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents with the terms at ``places`` alone, which get the numbers 0, 1, ..."""
+    number = np.full(width, -1, dtype=np.int32)
+    number[places] = np.arange(len(places))
+    new = number[terms]
+    before = np.concatenate([[0], np.cumsum(new >= 0)])
+    return before[starts], new[new >= 0]
+
+
+def learn(labels: np.ndarray, starts: np.ndarray, terms: np.ndarray, buckets: np.ndarray, epochs: int = 30, rate: float = 0.2, decay: float = 1e-5, seed: int = 1) -> Machine:
+    """Weights and factors for ``buckets`` by steps that shrink with the gradients each has seen; documents as for ``fit``."""
     n, positive = len(labels), float(labels.sum())
     share = min(max(positive / max(n, 1), 1e-6), 1 - 1e-6)
-    none = np.empty(0, dtype=np.int64)
-    machine = Machine(none, float(np.log(share / (1 - share))), np.zeros(0), np.zeros((0, FACTORS)))
-    if not 0 < positive < n:
-        return machine
-    names, held = np.unique(buckets, return_counts=True)
-    names, held = names[held >= LEAST], held[held >= LEAST]
-    found, counts = np.unique(buckets[(labels == 1)[rows]], return_counts=True)
-    toxic = np.zeros(len(names))
-    _, at, of = np.intersect1d(names, found, assume_unique=True, return_indices=True)
-    toxic[at] = counts[of]
-    expected = held * share
-    strength = np.abs(toxic - expected) / np.sqrt(expected * (1 - share) + 1)
-    strong = np.flatnonzero(strength >= STRENGTH)
-    chosen = names[np.sort(strong[np.lexsort((strong, -strength[strong]))[:TERMS]])]
     rng = np.random.default_rng(seed)
-    machine.buckets, machine.weights = chosen, np.zeros(len(chosen))
-    machine.factors = rng.normal(0, 0.01, (len(chosen), FACTORS))
-    rows, terms = machine.known(rows, buckets)
-    starts = np.searchsorted(rows, np.arange(n + 1))
+    machine = Machine(buckets, float(np.log(share / (1 - share))), np.zeros(len(buckets)), rng.normal(0, 0.01, (len(buckets), FACTORS)))
+    if not 0 < positive < n:
+        return Machine(buckets[:0], machine.bias, np.zeros(0), np.zeros((0, FACTORS)))
     balance = np.where(labels == 1, min(10.0, (n - positive) / positive) ** 0.5, 1.0)
     memory = [np.full_like(machine.weights, 1e-8), np.full_like(machine.factors, 1e-8), 1e-8]
     for _ in range(epochs):
         order = rng.permutation(n)
         for low in range(0, n, 256):
             some = order[low : low + 256]
-            sizes = starts[some + 1] - starts[some]
-            r, t = np.repeat(np.arange(len(some)), sizes), terms[spread(starts[some], sizes)]
-            error = balance[some] * (1 / (1 + np.exp(-np.clip(machine.raw(len(some), r, t), -30, 30))) - labels[some]) / len(some)
-            v = machine.factors[t]
-            sums = np.zeros((len(some), FACTORS))
-            np.add.at(sums, r, v)
-            gw = np.bincount(t, error[r], minlength=len(chosen)) + decay * machine.weights
-            gv = decay * machine.factors
-            np.add.at(gv, t, error[r][:, None] * (sums[r] - v))
-            gb = error.sum()
+            held, of = members(starts, terms, some)
+            gw, gv, gb = machine.gradients(held, of, labels[some], balance[some] / len(some))
+            gw, gv = gw + decay * machine.weights, gv + decay * machine.factors
             for i, g in enumerate((gw, gv, gb)):
                 memory[i] = memory[i] + g * g
             machine.weights -= rate * gw / np.sqrt(memory[0])
@@ -127,6 +170,12 @@ def fit(labels: np.ndarray, rows: np.ndarray, buckets: np.ndarray, epochs: int =
     return machine
 
 
+def members(starts: np.ndarray, terms: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, term) of each term that a few documents hold."""
+    sizes = starts[some + 1] - starts[some]
+    return np.repeat(np.arange(len(some)), sizes), terms[spread(starts[some], sizes)]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     rest = F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(FOLDS))
     return F.coalesce(rest == 0, F.lit(False))
@@ -135,28 +184,57 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Learns from at most ``sample`` labelled documents outside the held-out fold, chosen by a hash of doc_id.
 
-    Their terms, not their texts, come to the driver. Rows without a label or doc_id are not used.
+    Terms are counted in Spark; the driver gets the numbers of at most TERMS + PAIRED of them for each sampled document.
+    Rows without a label or doc_id are not used, a document's several labels count as its largest, its rows one each;
+    empty texts hold no term, further columns are not looked at. Long texts are gone through in whole, a slice at a time.
     """
     usable = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("label"))
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # so many narrow rows at most
     rows = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
-
-    def run(batches):
+    rows = rows.select("doc_id", (F.col("label") > 0).alias("label"), "text")
+    sets = stage(rows.mapInArrow(_sets, "doc_id bigint, label boolean, terms binary"), "terms")
+    counts = sets.mapInArrow(_counts, "bucket bigint, held bigint, toxic bigint").groupBy("bucket")
+    counts = stage(counts.agg(F.sum("held").alias("held"), F.sum("toxic").alias("toxic")).where(F.col("held") >= LEAST), "counts")
+    n, positive = sets.agg(F.count("*"), F.count_if("label")).first()
+    expected = F.col("held") * (positive / max(n, 1))
+    strength = F.abs(F.col("toxic") - expected) / F.sqrt(expected * (1 - positive / max(n, 1)) + 1)
+    strong = counts.where(strength >= STRENGTH).orderBy(strength.desc(), "bucket").limit(TERMS)
+    common = counts.orderBy(F.desc("held"), "bucket").limit(PAIRED)
+    strong, common = (np.sort([r.bucket for r in some.select("bucket").collect()]).astype(np.int64) for some in (strong, common))
+    buckets = np.union1d(strong, common)
+
+    def places(batches):
         for batch in batches:
-            for start, stop in slices(batch.column("text"), SLICE):
-                part = batch.slice(start, stop - start)
-                rows, buckets = term_sets(part.column("text"))
-                at = np.searchsorted(rows, np.arange(part.num_rows + 1))
-                sets = pa.array([buckets[a:b].astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), sets], names=["doc_id", "label", "terms"])
+            held = (np.frombuffer(terms, dtype="<i4") for terms in batch.column("terms").to_pylist())
+            known = [np.searchsorted(buckets, b[np.isin(b, buckets)]).astype("<u2").tobytes() for b in held]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array(known, pa.binary())], names=batch.schema.names)
+
+    found = sets.mapInArrow(places, sets.schema).toPandas().sort_values(["doc_id", "terms"], kind="stable")
+    starts = np.concatenate([[0], np.cumsum(found.terms.str.len().to_numpy(dtype=np.int64) // 2)])
+    terms = np.frombuffer(b"".join(found.terms), dtype="<u2")
+    return fit(found.label.to_numpy(dtype=float), starts, terms, buckets, strong, common)
+
+
+def _sets(batches):
+    """A document's distinct terms, ascending."""
+    for batch in batches:
+        for start, stop in slices(batch.column("text"), SLICE):
+            part = batch.slice(start, stop - start)
+            rows, buckets = term_sets(part.column("text"))
+            at = np.searchsorted(rows, np.arange(part.num_rows + 1))
+            sets = pa.array([buckets[a:b].astype("<i4").tobytes() for a, b in zip(at, at[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), sets], names=["doc_id", "label", "terms"])
+
 
-    schema = "doc_id bigint, label int, terms binary"
-    found = rows.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(run, schema).toPandas()
-    found = found.sort_values(["doc_id", "terms"], kind="stable")
-    owner = np.repeat(np.arange(len(found)), (found.terms.str.len() // 4).to_numpy(dtype=np.int64)).astype(np.int32)
-    buckets = np.frombuffer(b"".join(found.terms), dtype="<i4")
-    return fit((found.label.to_numpy() > 0).astype(float), owner, buckets)
+def _counts(batches):
+    """Documents, and toxic ones, that hold each term, added up for a batch."""
+    for batch in batches:
+        sets = [np.frombuffer(terms, dtype="<i4") for terms in batch.column("terms").to_pylist()]
+        toxic = np.repeat(batch.column("label").to_numpy(zero_copy_only=False).astype(np.int64), [len(s) for s in sets])
+        names, of, held = np.unique(np.concatenate(sets or [np.empty(0, dtype="<i4")]), return_inverse=True, return_counts=True)
+        columns = [names.astype(np.int64), held.astype(np.int64), np.bincount(of, toxic, minlength=len(names)).astype(np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "held", "toxic"])
 
 
 def score(machine: Machine) -> Column:
@@ -174,7 +252,8 @@ def predictions(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of ``docs``.
 
     A null text counts as empty; an empty one gets the score of a document without known terms. A
-    null doc_id is not held out. Without labels of both kinds every score is the share of the toxic.
+    null doc_id is not held out. Repeated rows are scored one by one, alike; further columns, also ones named like the
+    result's, are not looked at; a long text is scored whole. Without labels of both kinds every score is the share of the toxic.
     """
     out = docs.select("doc_id", held_out().alias("held_out"), score(machine).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

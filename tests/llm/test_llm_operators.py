@@ -230,6 +230,49 @@ def test_machine_is_the_sum_over_pairs():
     assert np.allclose(got, [0.3, 0.3 + machine.weights[terms].sum() + pairs])
 
 
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(np.arange(6), 0.1, rng.normal(size=6), rng.normal(size=(6, 3)))
+    rows, terms = np.array([0, 0, 0, 1, 1, 3]), np.array([0, 2, 5, 1, 2, 4])
+    labels, weight = np.array([1.0, 0.0, 1.0, 0.0]), np.array([0.5, 1.0, 2.0, 0.3])
+
+    def loss():
+        p = 1 / (1 + np.exp(-machine.raw(4, rows, terms)))
+        return -(weight * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).sum()
+
+    gw, gv, gb = machine.gradients(rows, terms, labels, weight)
+    for values, got in ((machine.weights, gw), (machine.factors, gv)):
+        for at in np.ndindex(values.shape):
+            kept, step = values[at], 1e-6
+            values[at] = kept + step
+            high = loss()
+            values[at] = kept - step
+            low = loss()
+            values[at] = kept
+            assert abs((high - low) / (2 * step) - got[at]) < 1e-6
+    machine.bias += 1e-6
+    high = loss()
+    machine.bias -= 2e-6
+    assert abs((high - loss()) / 2e-6 - gb) < 1e-6
+
+
+def test_terms_that_are_neutral_alone_and_telling_together(spark):
+    """Toxic is a text with one of two words, not with both or none: no single word tells anything."""
+    rng = np.random.default_rng(3)
+    plain = [f"neutral{i}" for i in range(300)]
+    made = []
+    for i in range(4000):
+        one, two = rng.integers(0, 2, 2)
+        made.append((i, " ".join([*rng.choice(plain, 30), *["insult"] * one, *["group"] * two]), int(one != two)))
+    table = spark.createDataFrame([(i, t, 0, 0.0) for i, t, _ in made], "doc_id bigint, text string, toxic int, score double")
+    labels = spark.createDataFrame([(i, y) for i, _, y in made], "doc_id bigint, toxic int")
+    result = toxicity.predictions(table, toxicity.train(table, labels))
+    assert result.columns == ["doc_id", "held_out", "score", "predicted"]
+    held = [(r["score"], made[r["doc_id"]][2]) for r in result.collect() if r["held_out"]]
+    bad, good = ([s for s, y in held if y == side] for side in (1, 0))
+    assert np.mean([[b > g for g in good] for b in bad]) >= 0.95  # the area under the curve
+
+
 # --- 4
 
 
