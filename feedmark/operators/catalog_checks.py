@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from feedmark import model as m
 from feedmark.operators.families import catalog_index, catalog_names
@@ -67,6 +67,52 @@ def catalog_drift(profile: DataFrame, baseline: DataFrame) -> DataFrame:
     return joined.select("magnitude", "observed", "expected", defect.alias("defect"))
 
 
+def _by_identity(objects: DataFrame, side: str) -> DataFrame:
+    """One row per id: what it shows, and how often the version holds it. Copies collapse before the shuffle.
+
+    Of several rows of one id the greatest counts, taken as a whole, so that their order never decides.
+    """
+    aliases = F.array_join(F.array_sort(F.array_distinct(F.coalesce("x_mitre_aliases", F.array().cast("array<string>")))), "\n")
+    shown = F.struct("type", "name", aliases.alias("aliases"), catalog.marker().alias("marker"), "source_ref", "target_ref")
+    rows = objects.where(F.col("id").isNotNull()).select("id", shown.alias("shown"))
+    return rows.groupBy("id").agg(F.max("shown").alias(side), F.count("*").alias(f"n_{side}"))
+
+
+def catalog_object_drift(objects: DataFrame, baseline: DataFrame) -> DataFrame:
+    """The objects behind a drift: one row for each id that is not the same in both versions.
+
+    ``change`` is the first that applies: ``added``, ``gone``, ``retired`` (live before), ``revived`` (retired before),
+    ``remarked`` (retired otherwise than before), ``retyped``, ``renamed`` (name or aliases), ``rewired`` (the ends of a
+    relation), ``repeated`` (held more or fewer times). Objects without an id are not looked at.
+    """
+    now, was = F.col("now"), F.col("before")
+    joined = _by_identity(objects, "now").join(_by_identity(baseline, "before"), "id", "full_outer")
+
+    def differs(*names: str) -> Column:
+        return F.array_contains(F.array(*(~now[name].eqNullSafe(was[name]) for name in names)), True)
+
+    change = (
+        F.when(was.isNull(), F.lit("added"))
+        .when(now.isNull(), F.lit("gone"))
+        .when(was["marker"].isNull() & now["marker"].isNotNull(), F.lit("retired"))
+        .when(was["marker"].isNotNull() & now["marker"].isNull(), F.lit("revived"))
+        .when(differs("marker"), F.lit("remarked"))
+        .when(differs("type"), F.lit("retyped"))
+        .when(differs("name", "aliases"), F.lit("renamed"))
+        .when(differs("source_ref", "target_ref"), F.lit("rewired"))
+        .when(F.col("n_now") != F.col("n_before"), F.lit("repeated"))
+    )
+    return joined.withColumn("change", change).where(F.col("change").isNotNull()).select(
+        "id",
+        F.coalesce(now["type"], was["type"]).alias("type"),
+        "change",
+        was["marker"].alias("marker"),
+        now["marker"].alias("marker_now"),
+        was["name"].alias("name"),
+        now["name"].alias("name_now"),
+    )
+
+
 def check_declared(declared: DataFrame) -> DataFrame:
     """Whether a declared list can be checked at all: not empty, known markers, both covered."""
     return declared.agg(

@@ -739,6 +739,12 @@ SELECT magnitude, n.observed, b.observed AS expected,
   CASE WHEN magnitude IN ('live_with_aliases', 'uses_live') AND n.observed = 0 THEN 'gone'
        WHEN n.observed <> b.observed THEN 'changed' END AS defect
 FROM profile_2 n JOIN profile_1 b USING (magnitude)"""
+    out["catalog_object_drift"] = _with(_software(), _software(1, "older")) + """
+SELECT id, CASE WHEN p_size % 2 = 0 THEN 'malware' ELSE 'tool' END AS type,
+  CASE WHEN o.marker IS NULL THEN 'retired' WHEN n.marker IS NULL THEN 'revived' ELSE 'remarked' END AS change,
+  o.marker, n.marker AS marker_now, 'Part Kit ' || p_partkey AS name, 'Part Kit ' || p_partkey AS name_now
+FROM software_all n JOIN older_all o USING (id) JOIN part ON p_partkey = n.p
+WHERE n.marker IS DISTINCT FROM o.marker"""
     out["retired_by_identity"] = _with(_software(), _software(1, "older")) + """
 SELECT d.id, d.marker, n.marker AS marker_now,
   CASE WHEN n.marker IS NULL THEN 'absent' WHEN n.marker <> d.marker THEN 'marker_changed' ELSE 'kept' END AS verdict

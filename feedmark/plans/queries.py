@@ -423,6 +423,12 @@ def catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cc.catalog_drift(now, baseline)
 
 
+@query
+def catalog_object_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objects that make the drift of the magnitudes."""
+    return cc.catalog_object_drift(w.catalog_objects(spark, sf_dir, 2), w.catalog_objects(spark, sf_dir, 1))
+
+
 @query
 def retired_by_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     declared = catalog.retired(w.catalog_objects(spark, sf_dir, 1))

@@ -121,6 +121,35 @@ def test_catalog_profile_drift_and_retired(spark):
     assert not cc.check_declared(declared.limit(0)).first()["checkable"]
 
 
+def test_drift_names_the_objects(spark):
+    def version(*changed):
+        rows = {r[0]: r for r in (
+            ("added", "malware", "A"), ("gone", "malware", "G"), ("same", "tool", "S"), ("retired", "tool", "R"),
+            ("revived", "tool", "V", None, True), ("remarked", "tool", "M", None, True), ("retyped", "tool", "T"),
+            ("renamed", "tool", None), ("aliased", "tool", "L", ["x", "y"]), ("reordered", "tool", "O", ["x", "y"]),
+            ("rewired", "relationship", None, None, None, None, "s1", "p1"), ("twice", "tool", "W"), (None, "tool", "no id"))}
+        rows |= {r[0]: r for r in changed}
+        full = [(*r, *[None] * (8 - len(r))) for r in rows.values()]
+        full += [full[[r[0] for r in full].index("twice")]] * bool(changed)
+        made = [(i, t, n, a, v, d, None, "uses" if s else None, s, g) for i, t, n, a, v, d, s, g in full]
+        return spark.createDataFrame(made, catalog.OBJECT_SCHEMA)
+
+    before = version().where("id IS NULL OR id <> 'added'")
+    now = version(("retired", "tool", "R", None, True), ("revived", "tool", "V"), ("remarked", "tool", "M", None, False, True),
+                  ("retyped", "malware", "T"), ("renamed", "tool", "N"), ("aliased", "tool", "L", ["x"]),
+                  ("reordered", "tool", "O", ["y", "x", "x"]), ("rewired", "relationship", None, None, None, None, "s1", "p2"))
+    now = now.where("id IS NULL OR id <> 'gone'")
+    got = {x["id"]: x for x in cc.catalog_object_drift(now, before).collect()}
+    assert {i: x["change"] for i, x in got.items()} == {
+        "added": "added", "gone": "gone", "retired": "retired", "revived": "revived", "remarked": "remarked", "retyped": "retyped",
+        "renamed": "renamed", "aliased": "renamed", "rewired": "rewired", "twice": "repeated"}
+    assert (got["remarked"]["marker"], got["remarked"]["marker_now"]) == ("revoked", "x_mitre_deprecated")
+    assert (got["renamed"]["name"], got["renamed"]["name_now"], got["gone"]["type"]) == (None, "N", "malware")
+    shuffled = cc.catalog_object_drift(now.orderBy(F.desc("id")).repartition(3), before.repartition(5))
+    assert sorted(shuffled.collect(), key=str) == sorted(got.values(), key=str)
+    assert cc.catalog_object_drift(now, now).count() == 0 and cc.catalog_object_drift(now, now.limit(0)).where("change <> 'added'").count() == 0
+
+
 def test_bundle_files(spark, tmp_path):
     import json
 
