@@ -215,3 +215,10 @@ def test_lookup_join_gives_the_same_beyond_the_broadcast_bound(spark):
         small = lookup.join_lookup(facts, table, ["k"], how)
         salted = lookup.join_lookup(facts, table, ["k"], how, max_rows=0)
         assert sorted(map(str, small.collect())) == sorted(map(str, salted.collect()))
+
+
+def test_lookup_join_beyond_the_bound_neither_broadcasts_nor_repeats(spark):
+    facts = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id"))
+    table = spark.range(7).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    plan = lookup.join_lookup(facts, table, ["k"], "left", max_rows=3)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan and "Generate" not in plan and "Sort" not in plan

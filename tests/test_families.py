@@ -222,3 +222,10 @@ def test_enrichment_without_catalogue_and_salted_join(spark, monkeypatch):
 def test_split_names_never_per_character(spark):
     df = spark.createDataFrame([("RemcosRAT,Remvio,Socmer",)], "a string")
     assert df.select(F.size(names.split_aliases(F.col("a")))).first()[0] == 3
+
+
+def test_joins_of_names_broadcast_nothing(spark):
+    seen = fam.family_names(spark.createDataFrame([("win.a", "A", None)], "family_id string, malware_printable string, malware_alias string"))
+    index = spark.createDataFrame([("a", 1, "s")], "canon string, n_software long, software_id string")
+    resolved = fam.resolve_families(seen, fam.family_candidates(seen), index)
+    assert "BroadcastExchange" not in resolved._jdf.queryExecution().executedPlan().toString()
