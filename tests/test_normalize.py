@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from feedmark import model as m
-from feedmark.functions import records
+from feedmark.functions import records, values
 from feedmark.operators import normalize as n, quality as q
 from feedmark.sources import documents
 
@@ -235,3 +235,32 @@ def test_record_lines(spark, tmp_path):
     path.write_text(json.dumps(GOOD) + "\n{broken\n")
     rows = n.normalize_ioc_feed(documents.read_record_lines(spark, str(path), "threatfox", "r")).collect()
     assert sorted(r["verdict"] for r in rows) == ["invalid", "valid"]
+
+
+def test_checks_are_compiled_and_the_record_is_walked_once(spark):
+    rows = n.normalize_ioc_feed(batch(spark, [GOOD]))
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in optimized  # a filter over the checks would be interpreted
+    assert "$.confidence_level" not in optimized and "$.malware_alias" not in optimized
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_texts_and_kinds_of_odd_fields(spark):
+    bodies = ['{"ioc":null,"malware":1.50,"malware_printable":"a\\"b","reference":[1,{"x":null}],"tags":["t",null]}', '[1]', '"x"', '{}']
+    rows = spark.createDataFrame([("s", str(i), b) for i, b in enumerate(bodies)], "source string, run_id string, body string")
+    opened = n.open_fields(rows.select("source", "run_id", records.parse(F.col("body")).alias("record")), n.IOC_READS)
+    got = opened.orderBy("run_id").select("is_object", "f_ioc", "k_ioc", "f_malware", "f_malware_printable", "k_malware_printable", "f_reference", "f_tags").collect()
+    assert tuple(got[0]) == (True, None, "VOID", "1.5", 'a"b', "STRING", '[1,{"x":null}]', ["t", None])
+    assert [tuple(r) for r in got[1:]] == [(False, *[None] * 7), (False, *[None] * 7), (True, *[None] * 7)]
+
+
+def test_suffix_of_a_time(spark):
+    texts = ["2024-01-02 03:04:05 UTC", " 2024-1-2 3:4:5  UTC ", "2024-01-02 03:04:05UTC", "UTC", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(values.parse_datetime(F.col("t")).isNotNull())
+    assert [r[0] for r in rows.collect()] == [True, True, False, False, False, False]
+
+
+def test_refang_by_scheme(spark):
+    texts = ["hxxp://a", "hXxps[://]a", "HXXP://a", "hXXphxxp", "plain[.]a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(values.refang(F.col("t")))
+    assert [r[0] for r in rows.collect()] == ["http://a", "https://a", "HXXP://a", "httphttp", "plain.a"]

@@ -73,3 +73,10 @@ def test_total_failure_leaves_the_state_alone(runner):
     assert applied.mode == m.MODE_TOTAL_FAILURE and set(marts) == {"source_runs"}
     applied, marts = runner(3, 12, [entry(1), entry(2)])
     assert applied.mode == m.MODE_DIFFERENTIAL and marts["diff_sources"].first()["n_new"] == 0
+
+
+def test_the_reports_rows_leave_the_raw_record_behind(runner, monkeypatch):
+    written, stage = {}, run.stage
+    monkeypatch.setattr(run, "stage", lambda df, name: written.setdefault(name, df.columns) and stage(df, name))
+    runner(1, 10, [entry(1)])
+    assert "raw" not in written["enriched"] and "raw" in written[f"{m.VULN_FEED.name}-normalized"]
