@@ -264,3 +264,9 @@ def test_refang_by_scheme(spark):
     texts = ["hxxp://a", "hXxps[://]a", "HXXP://a", "hXXphxxp", "plain[.]a"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select(values.refang(F.col("t")))
     assert [r[0] for r in rows.collect()] == ["http://a", "https://a", "HXXP://a", "httphttp", "plain.a"]
+
+
+def test_a_record_is_parsed_once_and_no_missing_path_is_asked_for(spark):
+    rows = spark.createDataFrame([('{"ioc": 1}',)], "body string").select(records.parse(F.col("body")).alias("record"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "$[1]" not in plan and rows.select(F.col("record").cast("string")).first()[0] == '{"ioc":1}'
