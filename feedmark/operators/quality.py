@@ -176,12 +176,19 @@ def broken_time_formats(batch: DataFrame, time_fields: dict[str, str]) -> DataFr
 
     Broken means values are there and none parses; a few bad ones are just invalid records.
     """
-    record = F.col("record")
+    field = records.children(F.col("record"), tuple(time_fields))
+    # Kind and text of each field are columns, taken out of the record once.
+    batch = batch.select(
+        *RUN,
+        *(F.schema_of_variant(field[name]).alias(f"k_{name}") for name in time_fields),
+        *(F.try_variant_get(field[name], "$", "string").alias(f"f_{name}") for name in time_fields),
+    )
 
     def legible(name: str, kind: str) -> Column:
-        return values.TIME_PARSERS[kind](records.only_string(record, name)).isNotNull()
+        only_string = F.when(F.col(f"k_{name}") == "STRING", F.col(f"f_{name}"))
+        return values.TIME_PARSERS[kind](only_string).isNotNull()
 
-    given = {name: records.truthy(record, name) for name in time_fields}
+    given = {name: records.is_given(F.col(f"k_{name}"), F.col(f"f_{name}")) for name in time_fields}
     counts = batch.groupBy(*RUN).agg(
         *(F.count_if(given[name]).alias(f"given_{name}") for name in time_fields),
         *(

@@ -270,3 +270,9 @@ def test_a_record_is_parsed_once_and_no_missing_path_is_asked_for(spark):
     rows = spark.createDataFrame([('{"ioc": 1}',)], "body string").select(records.parse(F.col("body")).alias("record"))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "$[1]" not in plan and rows.select(F.col("record").cast("string")).first()[0] == '{"ioc":1}'
+
+
+def test_broken_times_take_each_field_out_of_the_record_once(spark):
+    counted = q.broken_time_formats(batch(spark, [GOOD, {**GOOD, "first_seen": ["x"]}, ["no object"]]), m.IOC_FEED.time_fields)
+    assert "$.first_seen" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r["field"], r["n_given"], r["n_legible"]) for r in counted.collect()} == {("first_seen", 2, 1)}
