@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from feedmark.plans import workloads
 from oracle_check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -27,3 +28,17 @@ def test_entry_gives_one_row_per_source(spark):
 
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", ("group_families", "canonicalize_names", "technique_frequency"))
+def test_family_queries_do_not_land_whole_observations(spark, name, monkeypatch):
+    monkeypatch.setattr(workloads, "_LANDED", {})
+    QUERIES[name](spark, SF).collect()
+    assert "ioc-normalized" not in {key[-1] for key in workloads._LANDED}
+
+
+def test_families_are_the_same_from_landed_observations(spark, monkeypatch):
+    monkeypatch.setattr(workloads, "_LANDED", {})
+    alone = {tuple(row) for row in QUERIES["group_families"](spark, SF).collect()}
+    workloads.normalized_ioc(spark, SF)
+    assert alone == {tuple(row) for row in QUERIES["group_families"](spark, SF).collect()} and alone
