@@ -355,6 +355,23 @@ def test_no_task_gathers_a_seed_of_many_texts(spark, monkeypatch, passage):
     assert rows_of(suffixes.removed(df, 40, 12), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
 
 
+def test_no_window_of_a_seed_of_many_texts_is_its_own_copy(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", 2, raising=False)
+    rng = np.random.default_rng(7)
+    some = lambda n, low: bytes(rng.integers(low, low + 10, n).tolist()).decode()
+    places = lambda t: suffixes.anchors(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]), 60, 12)[0]
+    while True:  # until byte 48 is the anchor
+        first = some(108, 97)
+        # the second shares the window 12 bytes before the anchor, the third what the windows 13 to 16 bytes before it have in common
+        texts = [first, some(36, 65) + first[36:96] + some(12, 65), some(35, 65) + first[35:92] + some(16, 65)]
+        if all(48 in places(t) for t in texts):
+            break
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    want = sorted(((i, *x) for i, x in enumerate(remaining(texts, 60))), key=repr)
+    assert [w[2] for w in want] == [60, 60, 0]
+    assert rows_of(suffixes.removed(df, 60, 12), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
 def test_equal_heads_are_spread_over_ranges():
     heads = [b"same8888" + bytes([i]) * 20 for i in range(200)]
     cuts = sorted([suffixes._head(heads[0])] * 6 + [suffixes._head(b"a"), suffixes._head(b"z")])
