@@ -1,8 +1,11 @@
 """Every registered query against its SQL at the smallest scale, and some properties."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry
+from feedmark.operators.normalize import OBSERVATION_COLUMNS
 from feedmark.plans import workloads
 from oracle_check import compare, connect
 
@@ -42,3 +45,21 @@ def test_families_are_the_same_from_landed_observations(spark, monkeypatch):
     alone = {tuple(row) for row in QUERIES["group_families"](spark, SF).collect()}
     workloads.normalized_ioc(spark, SF)
     assert alone == {tuple(row) for row in QUERIES["group_families"](spark, SF).collect()} and alone
+
+
+@pytest.mark.parametrize("name", ("group_families", "canonicalize_names", "technique_frequency"))
+def test_family_queries_normalise_whole_observations(spark, name, monkeypatch):
+    written, stage = {}, workloads.stage
+
+    def noted(df, what):
+        rows = stage(df, what)
+        written[what] = (set(df.columns), rows.count(), rows.inputFiles()[0].removeprefix("file:"))
+        return rows
+
+    monkeypatch.setattr(workloads, "_LANDED", {})
+    monkeypatch.setattr(workloads, "stage", noted)
+    QUERIES[name](spark, SF).collect()
+    columns, n_rows, file = written["ioc-whole"]
+    assert columns >= set(OBSERVATION_COLUMNS)
+    assert n_rows == workloads.ioc_batch(spark, SF).count()
+    assert not os.path.exists(os.path.dirname(file))  # and leave none behind
