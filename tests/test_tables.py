@@ -1,9 +1,15 @@
+import os
+import time
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from feedmark import model as m
+from feedmark.operators import enrich as e, lookup
+from feedmark.plans import workloads
+from feedmark.session import scratch, stage
 from feedmark.sources import tables
 from feedmark.streaming import snapshots as st
 from test_difference import NOW, OBSERVED, held, seen
@@ -49,6 +55,47 @@ def test_enriched_dump_leaves_broken_rows_out(spark, tmp_path):
     assert not (tmp_path / "no").exists()
 
 
+def test_rows_without_a_family_do_not_travel(spark, monkeypatch):
+    mapping = spark.createDataFrame([("f", "why", ["T1"], [("T1", "x")], 1, "high", "r")],
+        "family_id string, reason string, technique_ids array<string>, techniques array<struct<technique_id:string,technique_name:string>>, "
+        "n_techniques long, mapping_confidence string, rationale string")
+    rows = spark.createDataFrame([("f", 1), ("g", 2), (None, 3), (None, 3)], "family_id string, n int")
+    monkeypatch.setattr(lookup, "is_small", lambda *_: False)
+    got = e.enrich_by_family(rows, mapping)
+    assert sorted((r["n"], r["reason"]) for r in got.collect()) == [(1, "why"), (2, None), (3, m.NO_ATTRIBUTION), (3, m.NO_ATTRIBUTION)]
+    above = e.enrich_by_family(rows, mapping)._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+    assert "isnull(family_id" in got._jdf.queryExecution().optimizedPlan().toString() and "Union" in above
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {name for top in folders for _, _, names in os.walk(top) for name in names if name.startswith("shuffle_")}
+
+
+def test_landed_tables_are_small_and_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workloads, "_LANDED", {})
+    before = shuffle_files(spark)
+    rows = workloads.landed(spark, str(tmp_path), "counts", lambda at, _: at.range(10_000).groupBy(F.col("id") % 7).count())
+    codecs = {pq.ParquetFile(f.removeprefix("file://")).metadata.row_group(0).column(0).compression for f in rows.inputFiles()}
+    assert codecs == {"ZSTD"}
+    end = time.time() + 20  # they are removed beside the job
+    while time.time() < end and shuffle_files(spark) - before:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_what_is_staged_in_a_scratch_scope_goes_with_it(spark):
+    folder = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    with scratch(spark):
+        outer = folder(stage(spark.range(3), "outer"))
+        with pytest.raises(ValueError), scratch(spark):
+            inner, kept = folder(stage(spark.range(3), "inner")), folder(stage(spark.range(3), "kept", keep=True))
+            raise ValueError
+        assert not os.path.exists(inner) and os.path.exists(kept) and os.path.exists(outer)
+    assert not os.path.exists(outer) and os.path.exists(kept)
+    assert os.path.exists(folder(stage(spark.range(3), "plain")))
+
+
 def test_marts_and_run_history(spark, tmp_path):
     root = str(tmp_path)
     mart = lambda n: {"t": spark.createDataFrame([(n,)], "n int")}
