@@ -55,6 +55,21 @@ def test_enriched_dump_leaves_broken_rows_out(spark, tmp_path):
     assert not (tmp_path / "no").exists()
 
 
+def test_a_dump_in_parts_is_the_whole_dump(spark, tmp_path, monkeypatch):
+    rows = spark.range(50).select(
+        F.when(F.col("id") != 7, F.col("id").cast("string")).alias("id"), F.lit("threatfox").alias("source"),
+        F.lit(None).cast("string").alias("reason"), (F.col("id") % 5).alias("n_techniques"))
+    assert len(lookup.in_parts(rows, rows)) == 1
+    monkeypatch.setattr(lookup, "is_small", lambda *_: False)
+    parts = lookup.in_parts(rows, rows)
+    assert len(parts) > 1 and all(part.count() < 50 for part in parts)
+    assert tables.write_enriched(rows, str(tmp_path / "whole")) == {"gap_without_reason": 10}
+    for _ in range(2):  # a dump again replaces all parts of the one before
+        assert tables.write_enriched(parts, str(tmp_path / "parts")) == {"gap_without_reason": 10}
+    read = lambda name: sorted(map(str, spark.read.parquet(str(tmp_path / name)).collect()))
+    assert read("parts") == read("whole") and len(read("parts")) == 40
+
+
 def test_rows_without_a_family_do_not_travel(spark, monkeypatch):
     mapping = spark.createDataFrame([("f", "why", ["T1"], [("T1", "x")], 1, "high", "r")],
         "family_id string, reason string, technique_ids array<string>, techniques array<struct<technique_id:string,technique_name:string>>, "
