@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from feedmark.operators import run
 from feedmark.operators.normalize import OBSERVATION_COLUMNS
 from feedmark.plans import workloads
 from oracle_check import compare, connect
@@ -63,3 +64,18 @@ def test_family_queries_normalise_whole_observations(spark, name, monkeypatch):
     assert columns >= set(OBSERVATION_COLUMNS)
     assert n_rows == workloads.ioc_batch(spark, SF).count()
     assert not os.path.exists(os.path.dirname(file))  # and leave none behind
+
+
+def test_a_run_leaves_its_state_and_report_only(spark, monkeypatch):
+    folders, stage = {}, run.stage
+
+    def noted(df, what):
+        rows = stage(df, what)
+        folders.setdefault(what, []).append(os.path.dirname(rows.inputFiles()[0].removeprefix("file://")))
+        return rows
+
+    monkeypatch.setattr(run, "stage", noted)
+    rows = QUERIES["full_run"](spark, SF)
+    assert {"threatfox-normalized", "enriched", "changes", "gate"} <= set(folders)
+    assert not [f for of_name in folders.values() for f in of_name if os.path.exists(f)]
+    assert {r["run"] for r in rows.collect()} == {"run-1", "run-2"}
